@@ -96,8 +96,13 @@ def read_table(
 
 
 def import_table(source: DataFrame, columns: Sequence[str], path: str) -> None:
-    """Land a whole table as headerless CSV, replacing the previous import."""
-    fit_columns(source, columns).write.mode("overwrite").csv(path)
+    """Land a whole table as headerless CSV, replacing the previous import.
+
+    Cells keep their surrounding spaces: bronze holds what the source holds.
+    """
+    fit_columns(source, columns).write.mode("overwrite").options(
+        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    ).csv(path)
 
 
 def dataset_exists(spark: SparkSession, path: str) -> bool:
