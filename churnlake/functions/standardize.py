@@ -15,14 +15,31 @@ from pyspark.sql import functions as F
 # month first, dashes as day first.
 DATE_LAYOUTS = ("yyyy-MM-dd", "yyyy/MM/dd", "dd-MM-yyyy", "MM/dd/yyyy", "dd MMM yyyy")
 
+# Rearrangements of the other layouts of digits into the first.
+TO_ISO = (
+    (r"^(\d{4})/(\d{2})/(\d{2})$", "$1-$2-$3"),
+    (r"^(\d{2})-(\d{2})-(\d{4})$", "$3-$2-$1"),
+    (r"^(\d{2})/(\d{2})/(\d{4})$", "$3-$1-$2"),
+)
+ISO_DATE = r"^\d{4}-\d{2}-\d{2}$"
+NAMED_MONTH = r"^\d{2} [A-Za-z]{3} \d{4}$"
+
 # Tokens read as 1 and as 0, in any case.
 TRUE_TOKENS = ("1", "yes", "y", "true")
 FALSE_TOKENS = ("0", "no", "n", "false")
 
-# Month spellings, and the normal form yyyy-MM.
-YEAR_FIRST_MONTH = r"^(\d{4})[-/](0[1-9]|1[0-2])$"
-MONTH_FIRST_MONTH = r"^(0[1-9]|1[0-2])/(\d{4})$"
+# The normal month, and rearrangements of other spellings into it.
 NORMAL_MONTH = r"^\d{4}-(0[1-9]|1[0-2])$"
+TO_NORMAL_MONTH = (
+    (r"^(\d{4})/(\d{2})$", "$1-$2"),
+    (r"^(\d{2})/(\d{4})$", "$2-$1"),
+)
+
+
+def _rearrange(value: Column, forms: Sequence[tuple[str, str]]) -> Column:
+    for pattern, rearranged in forms:
+        value = F.regexp_replace(value, pattern, rearranged)
+    return value
 
 
 def as_text(column: str) -> Column:
@@ -42,44 +59,49 @@ def lower_text(value: Column) -> Column:
     return F.lower(text(value))
 
 
+# The parsers below only trim: a blank string is not a number, date or flag, and
+# the less code a row needs, the sooner the JVM compiles it.
+
+
 def currency(value: Column) -> Column:
     """``$1,234.50`` to 1234.5."""
-    return F.regexp_replace(text(value), "[$,]", "").try_cast("double")
+    return F.regexp_replace(F.trim(value), "[$,]", "").try_cast("double")
 
 
 def decimal(value: Column) -> Column:
-    return text(value).try_cast("double")
+    return F.trim(value).try_cast("double")
 
 
 def whole_number(value: Column, type_name: str = "int") -> Column:
     """An integer; a fraction is cut off, overflow and junk are NULL."""
-    cleaned = text(value)
-    whole_part = F.regexp_replace(cleaned, r"\.\d*$", "")
-    fraction = F.when(
-        cleaned.rlike(r"^[+-]?\d*\.\d*$"),
-        F.when(whole_part.isin("", "+", "-"), F.lit("0")).otherwise(whole_part),
+    without_fraction = F.regexp_replace(
+        F.trim(value), r"^(?<sign>[+-]?)(?<whole>\d*)\.\d*$", "${sign}0${whole}"
     )
-    return F.coalesce(cleaned.try_cast(type_name), fraction.try_cast(type_name))
+    return without_fraction.try_cast(type_name)
 
 
 def date(value: Column) -> Column:
-    cleaned = text(value)
-    return F.coalesce(*[F.try_to_date(cleaned, layout) for layout in DATE_LAYOUTS])
+    """The date in whichever of the layouts the text has; NULL if it has none.
+
+    The layouts exclude each other, so the text is first recognised by its
+    shape. Trying one layout after the other would raise and catch an exception
+    for every miss, which costs more than the rest of the row.
+    """
+    cleaned = F.trim(value)
+    iso = F.regexp_extract(_rearrange(cleaned, TO_ISO), ISO_DATE, 0)
+    named = F.when(cleaned.rlike(NAMED_MONTH), F.try_to_date(cleaned, DATE_LAYOUTS[-1]))
+    return F.coalesce(iso.try_cast("date"), named)
 
 
 def flag(value: Column) -> Column:
-    token = lower_text(value)
+    token = F.lower(F.trim(value))
     return F.when(token.isin(*TRUE_TOKENS), 1).when(token.isin(*FALSE_TOKENS), 0)
 
 
 def month(value: Column) -> Column:
     """``2025/10`` and ``10/2025`` to ``2025-10``."""
-    cleaned = text(value)
-    return F.when(
-        cleaned.rlike(YEAR_FIRST_MONTH), F.regexp_replace(cleaned, YEAR_FIRST_MONTH, "$1-$2")
-    ).when(
-        cleaned.rlike(MONTH_FIRST_MONTH), F.regexp_replace(cleaned, MONTH_FIRST_MONTH, "$2-$1")
-    )
+    rearranged = _rearrange(F.trim(value), TO_NORMAL_MONTH)
+    return F.nullif(F.regexp_extract(rearranged, NORMAL_MONTH, 0), F.lit(""))
 
 
 def month_of(value: Column) -> Column:

@@ -5,13 +5,16 @@ The monthly mart stays out: it is computed from the label.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnlake.operators.keys import dense_key
 
 LABEL = "is_churned"
 
+# A label with more values than this is not a class label.
+MAX_CLASSES = 100
+
 # The candidate features of the model.
 FEATURES = (
     "CLV_LTV",
@@ -72,10 +75,19 @@ def customer_features(dim: DataFrame, fact: DataFrame) -> DataFrame:
     )
 
 
+def class_counts(df: DataFrame, label: str = LABEL) -> dict[int, int]:
+    """Rows per class, collected; refuses a label that has too many values."""
+    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("members"))
+    rows = counts.limit(MAX_CLASSES + 1).collect()
+    if len(rows) > MAX_CLASSES:
+        raise ValueError(f"{label} has more than {MAX_CLASSES} values")
+    return {row[label]: row.members for row in rows}
+
+
 def class_balance(features: DataFrame, label: str = LABEL) -> DataFrame:
-    """The share of each class; the total is taken over the few class rows."""
+    """The share of each class. The window runs over the class rows only."""
     counts = features.groupBy(label).agg(F.count(F.lit(1)).alias("customers"))
-    total = features.agg(F.count(F.lit(1))).scalar()
+    total = F.sum("customers").over(Window.partitionBy())
     return counts.withColumn("share", F.col("customers") / total).orderBy(label)
 
 
@@ -115,21 +127,21 @@ def stratified_split(
 
     Rows are numbered by class and by the hash of their id; the first rows of
     each class are its test set. The numbers come from a range sort, so a class
-    is never sorted in one task, and the split is the same in every run.
+    is never sorted in one task, and the split is the same in every run. The
+    label must not be NULL.
     """
     draw = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(row_id).cast("string")))
     numbered = dense_key(
         features.withColumn("_draw", draw), [label, "_draw", row_id], "_place"
     )
-    classes = numbered.groupBy(label).agg(
-        F.min("_place").alias("_start"), F.count(F.lit(1)).alias("_members")
-    )
-    test_rows = F.round(F.col("_members") * test_share)
-    return (
-        numbered.join(classes, label)
-        .withColumn(
-            "split",
-            F.when(F.col("_place") - F.col("_start") < test_rows, "test").otherwise("train"),
-        )
-        .select(*features.columns, "split")
+    test_until, place = {}, 0
+    members = class_counts(numbered, label)
+    for value in sorted(members):
+        test_until[value] = place + round(members[value] * test_share)
+        place += members[value]
+    is_test = F.lit(False)
+    for value, last in test_until.items():
+        is_test = is_test | ((F.col(label) == value) & (F.col("_place") <= last))
+    return numbered.select(
+        *features.columns, F.when(is_test, "test").otherwise("train").alias("split")
     )

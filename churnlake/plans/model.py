@@ -13,13 +13,17 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnlake.plans.features import FEATURES, LABEL
+from churnlake.plans.features import FEATURES, LABEL, class_counts
 
 # The forest of the model.
 TREES = 300
 DEPTH = 8
 SEED = 42
 
+# Node statistics a task may hold; enough for a whole level of the forest, so
+# that each level takes one pass over the rows.
+LEVEL_MEMORY_MB = 512
+
 PREDICTION_COLUMNS = (
     "customer_id",
     "actual_churn",
@@ -44,12 +48,20 @@ def complete(features: DataFrame) -> DataFrame:
 
 def with_class_weights(df: DataFrame, label: str = LABEL) -> DataFrame:
     """Add ``weight`` such that every class weighs the same in total."""
-    total = df.agg(F.count(F.lit(1))).scalar()
-    classes = df.agg(F.count_distinct(label)).scalar()
-    weights = df.groupBy(label).agg(
-        (total / (classes * F.count(F.lit(1)))).alias("weight")
-    )
-    return df.join(weights, label)
+    members = class_counts(df, label)
+    total = sum(members.values())
+    weight = F.lit(None).cast("double")
+    for value, count in members.items():
+        weight = F.when(F.col(label) == value, total / (len(members) * count)).otherwise(weight)
+    return df.withColumn("weight", weight)
+
+
+def spread_rows(df: DataFrame, row_id: str = "customer_id") -> DataFrame:
+    """Deal the rows out over all cores. Training works long on few bytes, so
+    partitions sized by bytes would leave most cores idle."""
+    spark = df.sparkSession
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(max(width, spark.sparkContext.defaultParallelism), row_id)
 
 
 def train(
@@ -71,9 +83,14 @@ def train(
             numTrees=trees,
             maxDepth=depth,
             seed=seed,
+            maxMemoryInMB=LEVEL_MEMORY_MB,
         ),
     ]
-    return Pipeline(stages=stages).fit(with_class_weights(complete(training), label))
+    rows = spread_rows(complete(training)).persist()
+    try:
+        return Pipeline(stages=stages).fit(with_class_weights(rows, label))
+    finally:
+        rows.unpersist()
 
 
 def score(model: PipelineModel, features: DataFrame) -> DataFrame:

@@ -898,7 +898,7 @@ FROM dim""",
 SELECT round(avg(CASE WHEN actual_churn = predicted_churn THEN 1.0 ELSE 0.0 END) + 1e-9, 6) AS accuracy,
   round((sum(CASE WHEN actual_churn = 1 THEN mid END)
     - count(*) FILTER (actual_churn = 1) * (count(*) FILTER (actual_churn = 1) + 1) / 2)
-    / (count(*) FILTER (actual_churn = 1) * count(*) FILTER (actual_churn = 0)), 6) AS roc_auc
+    / (count(*) FILTER (actual_churn = 1) * count(*) FILTER (actual_churn = 0)) + 1e-9, 6) AS roc_auc
 FROM (
   SELECT *, rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / 2 AS mid
   FROM rule_rows)""",
