@@ -1,4 +1,4 @@
-"""spark-submit entry: ``jobs.py silver ROOT`` or ``jobs.py gold ROOT``."""
+"""Run a layer: ``python -m churnlake.jobs silver ROOT``, then ``gold ROOT``."""
 
 from __future__ import annotations
 

@@ -60,20 +60,24 @@ class Gold:
 # --- activity by source -------------------------------------------------
 
 
+def _with_month(df: DataFrame, activity_month: Column) -> DataFrame:
+    return df.withColumns(
+        {"customer_id": F.col("customer_id").cast("long"), "activity_month": activity_month}
+    )
+
+
 def usage_activity(usage: DataFrame) -> DataFrame:
     if "usage_month_date" in usage.columns:
-        activity_month = month_of(F.col("usage_month_date"))
-    else:
-        activity_month = month(F.col("usage_month"))
-    return usage.withColumn("activity_month", activity_month)
+        return _with_month(usage, month_of(F.col("usage_month_date")))
+    return _with_month(usage, month(F.col("usage_month")))
 
 
 def ticket_activity(tickets: DataFrame) -> DataFrame:
-    return tickets.withColumn("activity_month", month_of(F.col("created_at")))
+    return _with_month(tickets, month_of(F.col("created_at")))
 
 
 def offer_activity(offers: DataFrame) -> DataFrame:
-    return offers.withColumn("activity_month", month_of(F.col("date_offered")))
+    return _with_month(offers, month_of(F.col("date_offered")))
 
 
 def _accepted() -> Column:

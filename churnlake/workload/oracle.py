@@ -705,7 +705,7 @@ FINAL: dict[str, str] = {
         "SELECT rejection_reason, count(*) AS rejected_rows FROM silver_tickets "
         "WHERE rejection_reason IS NOT NULL GROUP BY rejection_reason"
     ),
-    "reconciliation": " UNION ALL ".join(
+    "reconcile": " UNION ALL ".join(
         f"SELECT '{dataset}' AS dataset, (SELECT count(*) FROM raw_{name}) AS source_rows, "
         "count(*) FILTER (rejection_reason IS NULL) AS clean_rows, "
         "count(*) FILTER (rejection_reason IS NOT NULL) AS rejected_rows, "

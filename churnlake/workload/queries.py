@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -22,7 +23,8 @@ from churnlake.functions import (
     whole_number,
 )
 from churnlake.layout import Layout
-from churnlake.operators import dedupe, keys, quality, reconcile
+from churnlake.operators import dedupe, keys, quality
+from churnlake.operators import reconcile as accounting
 from churnlake.operators.rules import REASON
 from churnlake.plans import bi, features, gold, model
 from churnlake.plans.silver import judged_rows
@@ -285,16 +287,16 @@ def rejected_union(spark, sf_dir):
 
 @query
 def rejection_report(spark, sf_dir):
-    return reconcile.rejection_report(lake.silver_table(spark, sf_dir, TICKETS).rejected)
+    return accounting.rejection_report(lake.silver_table(spark, sf_dir, TICKETS).rejected)
 
 
 @query
-def reconciliation(spark, sf_dir):
+def reconcile(spark, sf_dir):
     parts = []
     for spec in SPECS:
         silver = lake.silver_table(spark, sf_dir, spec)
         source = RAW[spec.name](spark, sf_dir)
-        parts.append(reconcile.reconcile(spec.name, source, silver.clean, silver.rejected))
+        parts.append(accounting.reconcile(spec.name, source, silver.clean, silver.rejected))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -386,19 +388,20 @@ def gold_row_counts(spark, sf_dir):
 
 @query
 def gold_tables_register(spark, sf_dir):
+    """External tables in a database of their own, read through SQL."""
     tables = lake.gold_tables(spark, sf_dir)
     layout = Layout(new_dir(spark, "registered"))
     for name, df in zip(gold.TABLES, (tables.dim, tables.fact, tables.mart), strict=True):
         df.write.parquet(layout.gold(name))
-    for name in gold.TABLES:
-        spark.sql(f"DROP TABLE IF EXISTS {name}_gold")
-    gold.register_gold(spark, layout)
+    database = f"churn_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{layout.root}/database'")
+    gold.register_gold(spark, layout, database)
     return spark.sql(
         "SELECT f.activity_month, count(*) AS fact_rows, sum(d.is_churned) AS churned_rows, "
         "max(m.active_customers) AS active_customers "
-        "FROM fact_customer_activity_gold f "
-        "JOIN dim_customer_gold d ON f.cust_key = d.cust_key "
-        "JOIN monthly_churn_rate_gold m ON f.activity_month = m.activity_month "
+        f"FROM {database}.fact_customer_activity_gold f "
+        f"JOIN {database}.dim_customer_gold d ON f.cust_key = d.cust_key "
+        f"JOIN {database}.monthly_churn_rate_gold m ON f.activity_month = m.activity_month "
         "GROUP BY f.activity_month"
     )
 
