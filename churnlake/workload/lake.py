@@ -43,16 +43,10 @@ def build_silver(spark: SparkSession, sf_dir: str, spec: SourceSpec) -> Silver:
 
 
 def silver_table(spark: SparkSession, sf_dir: str, spec: SourceSpec) -> Silver:
-    """The clean and rejected rows of one source, as a silver run stores them."""
-
-    def build() -> Silver:
-        fresh = build_silver(spark, sf_dir, spec)
-        return Silver(
-            stage(fresh.clean, f"{spec.name}-clean"),
-            stage(fresh.rejected, f"{spec.name}-rejected"),
-        )
-
-    return _once(spark, sf_dir, f"silver-{spec.name}", build)
+    """The clean and rejected rows of one source, on the tables its build stored."""
+    return _once(
+        spark, sf_dir, f"silver-{spec.name}", lambda: build_silver(spark, sf_dir, spec)
+    )
 
 
 def clean_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, ...]:

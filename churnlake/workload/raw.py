@@ -37,10 +37,20 @@ def _every(key: str, step: int, at: int) -> Column:
 
 def _repeat(df: DataFrame, copied: Column, second: Column | None = None) -> DataFrame:
     """Add ``version``: 0 for the row itself, 1 for a copy, 2 for a second row."""
-    versions = [F.lit(FIRST), F.when(copied, F.lit(COPY))]
-    if second is not None:
-        versions.append(F.when(second, F.lit(SECOND)))
-    return df.withColumn("version", F.explode(F.array_compact(F.array(*versions))))
+
+    def versions(*numbers: int) -> Column:
+        return F.array(*[F.lit(number) for number in numbers])
+
+    if second is None:
+        present = F.when(copied, versions(FIRST, COPY)).otherwise(versions(FIRST))
+    else:
+        present = (
+            F.when(copied & second, versions(FIRST, COPY, SECOND))
+            .when(copied, versions(FIRST, COPY))
+            .when(second, versions(FIRST, SECOND))
+            .otherwise(versions(FIRST))
+        )
+    return df.withColumn("version", F.explode(present))
 
 
 def _string(value: Column) -> Column:
