@@ -113,7 +113,7 @@ def run_source(
         customer_ids = spark.read.parquet(layout.customer_ids)
     silver = clean_source(standardized, spec, as_of, customer_ids)
     clean = write_dataset(silver.clean, layout.silver(spec.name))
-    rejected = write_dataset(silver.rejected, layout.rejected(spec.name))
+    rejected = write_dataset(silver.rejected, layout.rejected(spec.name), rebalance=True)
     if spec is CUSTOMERS:
         write_dataset(key_reference(clean, spec.key), layout.customer_ids)
     report = reconcile(spec.name, standardized, clean, rejected)

@@ -5,14 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def write_dataset(df: DataFrame, path: str, replace: bool = True) -> DataFrame:
-    """Write well-sized files and read them back.
+def write_dataset(
+    df: DataFrame, path: str, replace: bool = True, rebalance: bool = False
+) -> DataFrame:
+    """Write a dataset and read it back.
 
-    The rebalance hint lets AQE merge small output partitions and split large
-    ones, without limiting the tasks of the stage before.
+    Rows that come from a stored table are split by size when they are read, so
+    their files need no shuffle. ``rebalance`` is for rows from many uneven or
+    small partitions: AQE then merges and splits them, at the price of a shuffle.
     """
     mode = "overwrite" if replace else "errorifexists"
-    df.hint("rebalance").write.mode(mode).parquet(path)
+    sized = df.hint("rebalance") if rebalance else df
+    sized.write.mode(mode).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -17,9 +17,13 @@ from churnlake.workload.raw import RAW, as_of
 _BUILT: dict[tuple[str, str, str], object] = {}
 
 
+def _key(spark: SparkSession, sf_dir: str, name: str) -> tuple[str, str, str]:
+    return spark.sparkContext.applicationId, sf_dir, name
+
+
 def _once(spark: SparkSession, sf_dir: str, name: str, build):
     """The stored result of ``build``, which runs the first time it is needed."""
-    key = (spark.sparkContext.applicationId, sf_dir, name)
+    key = _key(spark, sf_dir, name)
     if key not in _BUILT:
         _BUILT[key] = build()
     return _BUILT[key]
@@ -38,15 +42,16 @@ def customer_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def build_silver(spark: SparkSession, sf_dir: str, spec: SourceSpec) -> Silver:
+    """Clean one source anew; later queries read the tables this stored."""
     ids = None if spec.foreign_key is None else customer_ids(spark, sf_dir)
-    return clean_source(standardized(spark, sf_dir, spec), spec, as_of(), ids)
+    silver = clean_source(standardized(spark, sf_dir, spec), spec, as_of(), ids)
+    _BUILT[_key(spark, sf_dir, spec.name)] = silver
+    return silver
 
 
 def silver_table(spark: SparkSession, sf_dir: str, spec: SourceSpec) -> Silver:
     """The clean and rejected rows of one source, on the tables its build stored."""
-    return _once(
-        spark, sf_dir, f"silver-{spec.name}", lambda: build_silver(spark, sf_dir, spec)
-    )
+    return _once(spark, sf_dir, spec.name, lambda: build_silver(spark, sf_dir, spec))
 
 
 def clean_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, ...]:

@@ -96,7 +96,9 @@ def bronze_json_scan(spark, sf_dir):
 def stream_landing(spark, sf_dir):
     events = table(spark, sf_dir, "events")
     schema = ", ".join(f"{name} {kind}" for name, kind in events.dtypes)
-    files = landing.watch_files(spark, f"{sf_dir}/events.parquet", "*.parquet", "parquet", schema)
+    files = landing.watch_files(
+        spark, f"{sf_dir}/events.parquet", "*.parquet", "parquet", schema, max_files=1000
+    )
     folder = new_dir(spark, "landing")
     landing.land(files, f"{folder}/bronze", f"{folder}/checkpoint").awaitTermination()
     return landing.landed_rows(spark, f"{folder}/bronze").select(*events.columns)
