@@ -1,6 +1,5 @@
 from churnlake.functions.scalar import guarded_ratio, percent, segment
 from churnlake.functions.standardize import (
-    as_text,
     currency,
     date,
     decimal,
@@ -16,7 +15,6 @@ from churnlake.functions.standardize import (
 )
 
 __all__ = [
-    "as_text",
     "currency",
     "date",
     "decimal",

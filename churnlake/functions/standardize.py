@@ -35,10 +35,6 @@ YEAR_AND_MONTH = r"^\d{4}[-/](0[1-9]|1[0-2])$"
 MONTH_AND_YEAR = r"^(0[1-9]|1[0-2])/\d{4}$"
 
 
-def as_text(column: str) -> Column:
-    return F.col(column).cast("string")
-
-
 def text(value: Column) -> Column:
     """Without surrounding spaces; a blank string is NULL. Tabs are kept."""
     return F.nullif(F.trim(value), F.lit(""))

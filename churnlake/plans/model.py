@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from churnlake.plans.features import FEATURES, LABEL, class_counts
+from churnlake.scratch import stage
 
 # The forest of the model.
 TREES = 300
@@ -24,6 +25,9 @@ SEED = 42
 # that each level takes one pass over the rows.
 LEVEL_MEMORY_MB = 512
 
+# Rows worth a task of their own, beyond one task per core.
+ROWS_PER_TASK = 10_000
+
 PREDICTION_COLUMNS = (
     "customer_id",
     "actual_churn",
@@ -57,11 +61,12 @@ def with_class_weights(df: DataFrame, label: str = LABEL) -> DataFrame:
 
 
 def spread_rows(df: DataFrame, row_id: str = "customer_id") -> DataFrame:
-    """Deal the rows out over all cores. Training works long on few bytes, so
+    """Deal the rows out over all cores. A forest works long on few bytes, so
     partitions sized by bytes would leave most cores idle."""
     spark = df.sparkSession
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(max(width, spark.sparkContext.defaultParallelism), row_id)
+    wanted = min(width, df.count() // ROWS_PER_TASK)
+    return df.repartition(max(wanted, spark.sparkContext.defaultParallelism), row_id)
 
 
 def train(
@@ -107,6 +112,16 @@ def score(model: PipelineModel, features: DataFrame) -> DataFrame:
     )
 
 
+def predict(model: PipelineModel, features: DataFrame) -> DataFrame:
+    """The stored predictions of all customers.
+
+    Hundreds of trees make a row expensive, so the rows are dealt out over all
+    cores, and they are stored: a sort by risk would otherwise score every row
+    once to find its ranges and once more to sort.
+    """
+    return stage(score(model, spread_rows(features)), "predictions")
+
+
 def ranked_by_risk(predictions: DataFrame) -> DataFrame:
     return predictions.select(*PREDICTION_COLUMNS, "prediction_label").orderBy(
         F.desc("churn_probability"), "customer_id"

@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churnlake.functions import (
@@ -56,10 +56,6 @@ def rounded(df: DataFrame, *names: str) -> DataFrame:
     return df.withColumns({name: F.round(F.col(name) + NUDGE, DECIMALS) for name in names})
 
 
-def as_date_text(value: Column) -> Column:
-    return F.date_format(value, "yyyy-MM-dd")
-
-
 # --- sources ------------------------------------------------------------
 
 
@@ -86,9 +82,10 @@ def bronze_json_scan(spark, sf_dir):
     """Numbers come back as text, a missing field as NULL, an extra one is left out."""
     path = new_dir(spark, "bronze-usage")
     raw = raw_text(spark, sf_dir, USAGE.name, USAGE.columns)
-    raw.drop("num_products").withColumn("customer_id", F.col("customer_id").cast("long")).withColumn(
-        "extra", F.lit(1)
-    ).write.json(path)
+    written = raw.drop("num_products").withColumns(
+        {"customer_id": F.col("customer_id").cast("long"), "extra": F.lit(1)}
+    )
+    written.write.json(path)
     return read_json(spark, path, USAGE.columns, multi_line=False)
 
 
@@ -586,7 +583,7 @@ def ml_importance(spark, sf_dir):
 @query
 def ml_score(spark, sf_dir):
     _, final, _ = lake.trained(spark, sf_dir)
-    return model.ranked_by_risk(model.score(final, _features(spark, sf_dir)))
+    return model.ranked_by_risk(model.predict(final, _features(spark, sf_dir)))
 
 
 def _test_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -66,7 +66,7 @@ def test_train_select_score_and_reload(split, tmp_path):
     assert quality["roc_auc"] > 0.9
     model.save_model(chosen.final, str(tmp_path / "final"))
     loaded = model.load_model(str(tmp_path / "final"))
-    scored = model.ranked_by_risk(model.score(loaded, test)).collect()
+    scored = model.ranked_by_risk(model.predict(loaded, test)).collect()
     assert scored == model.ranked_by_risk(model.score(chosen.final, test)).collect()
     probabilities = [row.churn_probability for row in scored]
     assert probabilities == sorted(probabilities, reverse=True)
