@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from churnlake.llm.factorization import fit, score
 from churnlake.llm.host_rules import judge_documents
 from churnlake.llm.minhash import near_duplicates
+from churnlake.llm.mixing import mix_sources
 from churnlake.llm.oracles import ORACLES as ORACLES
 from churnlake.llm.sharding import shard_documents
 from churnlake.llm.substrings import remove_repeats
+from churnlake.llm.token_counts import section_tokens
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,13 +43,67 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _held_out(folds: int, out: int) -> Column:
+    """Whether a doc_id is in the fold that no label is learned from."""
+    fold = F.crc32(F.col("doc_id").cast("string")) % folds
+    return F.coalesce(fold == out, F.lit(False))
+
+
+def _classified(
+    spark: SparkSession, sf_dir: str, label: str, folds: int, out: int, structure: bool
+) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    learned = labels.where(~_held_out(folds, out)).select("doc_id", F.col(label).alias("label"))
+    machine = fit(docs, learned, structure=structure)
+    return (
+        score(docs, machine, structure=structure)
+        .select("doc.doc_id", "score")
+        .select(
+            "doc_id",
+            _held_out(folds, out).alias("held_out"),
+            "score",
+            F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"),
+        )
+    )
+
+
+def op4_quality_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _classified(spark, sf_dir, "quality", 5, 0, structure=True)
+
+
 def op5_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_documents(_table(spark, sf_dir, "documents"))
 
 
+def op6_raked_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix_sources(_table(spark, sf_dir, "documents"))
+    return mixed.select(
+        "doc.doc_id",
+        "doc.source",
+        "doc.lang",
+        "topic",
+        "tokens",
+        "weight",
+        "probability",
+        "kept",
+    )
+
+
+def op8_section_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return section_tokens(_table(spark, sf_dir, "documents"))
+
+
+def op9_toxicity_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _classified(spark, sf_dir, "toxic", 4, 2, structure=False)
+
+
 QUERIES = {
     "op1_ring_shards": op1_ring_shards,
     "op2_minhash_dedup": op2_minhash_dedup,
     "op3_suffix_dedup": op3_suffix_dedup,
+    "op4_quality_machine": op4_quality_machine,
     "op5_host_rules": op5_host_rules,
+    "op6_raked_mixture": op6_raked_mixture,
+    "op8_section_tokens": op8_section_tokens,
+    "op9_toxicity_machine": op9_toxicity_machine,
 }

@@ -60,13 +60,15 @@ class Words:
 
     ``starts`` and ``ends`` are byte positions within the word's own text,
     ``hashes`` the words' hashes, ``first`` the number of the first word of each
-    text, followed by the number of words.
+    text, followed by the number of words. ``heads`` has the hashes of the words'
+    first bytes, by their number; a shorter word's head is the whole word.
     """
 
     starts: np.ndarray
     ends: np.ndarray
     hashes: np.ndarray
     first: np.ndarray
+    heads: dict[int, np.ndarray]
 
     def rows(self) -> np.ndarray:
         """The number of the text each word is in."""
@@ -98,8 +100,14 @@ class Words:
         return found
 
 
-def _hash_chunk(data: np.ndarray, fold: np.ndarray, apart: np.ndarray, breaks: np.ndarray):
-    """Starts, ends and hashes of the words of one chunk; words end at ``breaks``."""
+def _hash_chunk(
+    data: np.ndarray,
+    fold: np.ndarray,
+    apart: np.ndarray,
+    breaks: np.ndarray,
+    heads: tuple[int, ...],
+) -> list[np.ndarray]:
+    """Starts, ends, hashes and heads of a chunk's words; words end at ``breaks``."""
     inside = ~apart[data]
     before = np.empty_like(inside)
     before[:1], before[1:] = False, inside[:-1]
@@ -113,11 +121,16 @@ def _hash_chunk(data: np.ndarray, fold: np.ndarray, apart: np.ndarray, breaks: n
     power, inverse = _powers(len(data))
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(_CODES[fold][data] * power[: len(data)], out=sums[1:])
-    return starts, ends, mix((sums[ends] - sums[starts]) * inverse[starts]), sums
+    stops = [ends, *(np.minimum(ends, starts + head) for head in heads)]
+    return [starts, ends, *(mix((sums[at] - sums[starts]) * inverse[starts]) for at in stops)]
 
 
 def find_words(
-    column: pa.Array, *, lower: bool = False, apart: np.ndarray = SPACE
+    column: pa.Array,
+    *,
+    lower: bool = False,
+    apart: np.ndarray = SPACE,
+    heads: tuple[int, ...] = (),
 ) -> Words:
     """The words of each text of an Arrow column; a null has none."""
     column = column.cast(pa.binary()).fill_null(b"")
@@ -139,15 +152,16 @@ def find_words(
                 reach += CHUNK
             stop = int(min(stop + later[0], border) if len(later) else border)
         low, high = np.searchsorted(bounds, [start, stop])
-        part = _hash_chunk(data[start:stop], fold, apart, bounds[low:high] - start)
-        found.append((part[0] + start, part[1] + start, part[2]))
+        part = _hash_chunk(data[start:stop], fold, apart, bounds[low:high] - start, heads)
+        found.append([part[0] + start, part[1] + start, *part[2:]])
         start = stop
     if not found:
-        found.append((np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64)))
-    starts, ends, hashes = (np.concatenate(parts) for parts in zip(*found, strict=True))
+        none = np.empty(0, np.int64)
+        found.append([none, none, *[none.astype(np.uint64)] * (1 + len(heads))])
+    starts, ends, hashes, *rest = (np.concatenate(parts) for parts in zip(*found, strict=True))
     first = np.searchsorted(starts, bounds)
     own = np.repeat(bounds[:-1], np.diff(first))
-    return Words(starts - own, ends - own, hashes, first)
+    return Words(starts - own, ends - own, hashes, first, dict(zip(heads, rest, strict=True)))
 
 
 def pieces(
