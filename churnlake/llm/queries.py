@@ -6,10 +6,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churnlake.llm.factorization import fit, score
+from churnlake.llm.graph_search import build_index, nearest, usable
 from churnlake.llm.host_rules import judge_documents
 from churnlake.llm.minhash import near_duplicates
 from churnlake.llm.mixing import mix_sources
 from churnlake.llm.oracles import ORACLES as ORACLES
+from churnlake.llm.sentence_pieces import encode_pieces
 from churnlake.llm.sharding import shard_documents
 from churnlake.llm.substrings import remove_repeats
 from churnlake.llm.token_counts import section_tokens
@@ -89,6 +91,12 @@ def op6_raked_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_pruned_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = usable(_table(spark, sf_dir, "embeddings"))
+    queries = vectors.where("vec_id % 50 = 0").withColumnRenamed("vec_id", "query_id")
+    return nearest(queries, build_index(vectors, k=5), k=5)
+
+
 def op8_section_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return section_tokens(_table(spark, sf_dir, "documents"))
 
@@ -97,6 +105,17 @@ def op9_toxicity_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _classified(spark, sf_dir, "toxic", 4, 2, structure=False)
 
 
+def op10_viterbi_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = encode_pieces(_table(spark, sf_dir, "documents"))
+    ids = F.concat_ws(",", F.col("piece_ids").cast("array<string>"))
+    return encoded.select(
+        "doc.doc_id",
+        F.size("piece_ids").cast("long").alias("n_pieces"),
+        F.crc32(ids).alias("ids_crc32"),
+        "round_trip",
+    )
+
+
 QUERIES = {
     "op1_ring_shards": op1_ring_shards,
     "op2_minhash_dedup": op2_minhash_dedup,
@@ -104,6 +123,8 @@ QUERIES = {
     "op4_quality_machine": op4_quality_machine,
     "op5_host_rules": op5_host_rules,
     "op6_raked_mixture": op6_raked_mixture,
+    "op7_pruned_graph": op7_pruned_graph,
     "op8_section_tokens": op8_section_tokens,
     "op9_toxicity_machine": op9_toxicity_machine,
+    "op10_viterbi_pieces": op10_viterbi_pieces,
 }

@@ -30,7 +30,15 @@ _BASE = 0x9E3779B97F4A7C15
 _POWERS: list[np.ndarray] = []
 
 
-def _powers(length: int) -> list[np.ndarray]:
+def byte_codes() -> np.ndarray:
+    return _CODES
+
+
+def powers(length: int) -> list[np.ndarray]:
+    """Powers of the base and of its inverse, at least ``length`` of them.
+
+    The hash of the bytes from a to b is mix((sum[b] - sum[a]) * inverse[a]),
+    with the running sums of code * power."""
     if not _POWERS or len(_POWERS[0]) < length:
         size = max(length, CHUNK)
         for number in (_BASE, pow(_BASE, -1, 1 << 64)):
@@ -118,7 +126,7 @@ def _hash_chunk(
     after[inner - 1] = False
     starts = np.flatnonzero(inside & ~before)
     ends = np.flatnonzero(inside & ~after) + 1
-    power, inverse = _powers(len(data))
+    power, inverse = powers(len(data))
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(_CODES[fold][data] * power[: len(data)], out=sums[1:])
     stops = [ends, *(np.minimum(ends, starts + head) for head in heads)]
@@ -165,16 +173,19 @@ def find_words(
 
 
 def pieces(
-    batches: Iterator[pa.RecordBatch], rows: int = 512, text: str | None = None
+    batches: Iterator[pa.RecordBatch],
+    rows: int = 512,
+    text: str | None = None,
+    size: int = CHUNK,
 ) -> Iterator[pa.RecordBatch]:
     """The batches cut to few rows and, where a text column is named, to about
-    ``CHUNK`` bytes of it."""
+    ``size`` bytes of it."""
     for batch in batches:
         if text is None:
             cuts = range(0, batch.num_rows, rows)
         else:
             sizes = pa.compute.binary_length(batch.column(text)).fill_null(0).to_numpy()
-            block = (np.cumsum(sizes, dtype=np.int64) - sizes) // CHUNK
+            block = (np.cumsum(sizes, dtype=np.int64) - sizes) // size
             number = np.arange(batch.num_rows) // rows
             change = (np.diff(block) != 0) | (np.diff(number) != 0)
             cuts = [0, *(np.flatnonzero(change) + 1).tolist()] if batch.num_rows else []
