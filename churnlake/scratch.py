@@ -1,31 +1,33 @@
-"""Staging tables that cut lineage and survive the loss of an executor."""
+"""Staging tables that cut lineage and survive the loss of an executor.
+
+All of one application's staging tables lie in one folder, which ``release``
+deletes when the application no longer needs them.
+"""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder the cluster shares for checkpoints.
+    """The folder all machines of the session reach.
 
-    A cluster names it in ``spark.checkpoint.dir``. A local session without
-    that setting gets a temporary folder of its own.
+    That is the folder in ``spark.checkpoint.dir``, or else the one set on the
+    context, or else the session's warehouse.
     """
-    context = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if configured:
-        return configured.rstrip("/")
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="churnlake-"))
-    return context.getCheckpointDir().rstrip("/")
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = configured or spark.sparkContext.getCheckpointDir()
+    return (configured or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
+
+
+def application_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/churnlake-{spark.sparkContext.applicationId}"
 
 
 def new_dir(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/churnlake/{label}-{uuid.uuid4().hex}"
+    return f"{application_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
@@ -37,3 +39,9 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = new_dir(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Delete the application's staging tables; nothing may read them any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(application_dir(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
