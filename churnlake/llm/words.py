@@ -100,11 +100,10 @@ class Words:
             if high - low >= length:
                 found.append(distinct(whole[low : high - length + 1]))
                 continue
-            total = 0
+            short = np.zeros(min(1, high - low), np.uint64)
             for value in self.hashes[low:high]:
-                total = (total * _BASE + int(value)) % (1 << 64)
-            short = np.array([total + high - low] if high > low else [], np.uint64)
-            found.append(mix(mix(short) + np.uint64(high - low)))
+                short = mix(short + np.uint64(high - low)) + value
+            found.append(mix(short))
         return found
 
 
