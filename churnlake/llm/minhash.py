@@ -38,7 +38,7 @@ from churnlake.scratch import stage
 BUCKETS, BANDS, MANTISSA = 128, 32, 10
 
 # Sketches compared with one another at a time in round 2.
-BLOCK = 512
+BLOCK = 2048
 
 # Pairs estimated at a time inside a task.
 PAIRS = 1 << 18
