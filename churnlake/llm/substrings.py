@@ -367,27 +367,26 @@ def repeated_spans(docs: DataFrame, *, window: int = 50) -> DataFrame:
 def _removed(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
     for batch in pieces(batches, 256):
         column = batch.column("doc").field("text")
-        column = column.filter(batch.column("doc").is_valid()) if batch.column("doc").null_count else column
         words = find_words(column)
-        taken, counts, removed, kept = [], [], [], []
+        counts, removed, kept = [], [], []
         texts = column.cast(pa.binary()).to_pylist()
-        entries = batch.select(["digest", "copy", "spans"]).to_pylist()
-        for at, (text, entry) in enumerate(zip(texts, entries, strict=True)):
-            low, high = words.first[at], words.first[at + 1]
-            if entry["digest"] and _digest(words.hashes[low:high]) != entry["digest"]:
-                continue  # what another text of this doc_id repeats
+        entries = batch.column("found").to_pylist()
+        for at, (text, found) in enumerate(zip(texts, entries, strict=True)):
+            digest = _digest(words.hashes[words.first[at] : words.first[at + 1]]) if found else None
             own = (text or b"").split()
             gone = np.zeros(len(own), bool)
-            gone[:] = bool(entry["copy"])
-            for span in entry["spans"] or ():
-                gone[span["low"] : span["high"]] = True
-            taken.append(at)
+            for entry in found or ():
+                if entry["digest"] != digest:
+                    continue  # what another text of this doc_id repeats
+                gone |= entry["copy"]
+                for span in entry["spans"] or ():
+                    gone[span["low"] : span["high"]] = True
             counts.append(len(own))
             removed.append(int(gone.sum()))
             kept.append(b" ".join(w for w, g in zip(own, gone.tolist(), strict=True) if not g))
         yield pa.record_batch(
             {
-                "doc": batch.column("doc").take(pa.array(taken, pa.int64())),
+                "doc": batch.column("doc"),
                 "n_words": pa.array(counts, pa.int64()),
                 "n_removed": pa.array(removed, pa.int64()),
                 "kept_text": pa.array(kept, pa.binary()).cast(pa.string()),
@@ -407,11 +406,15 @@ def remove_repeats(docs: DataFrame, *, window: int = 50) -> DataFrame:
 
     A doc_id with several texts: each is judged by itself against smaller ones.
     """
-    found = repeated_spans(docs, window=window).withColumnRenamed("doc_id", "of")
+    found = (
+        repeated_spans(docs, window=window)
+        .groupBy(F.col("doc_id").alias("of"))
+        .agg(F.collect_list(F.struct("digest", "copy", "spans")).alias("found"))
+    )
     rows = docs.select(F.struct(*docs.columns).alias("doc"))
     joined = rows.join(found, F.col("doc.doc_id") == F.col("of"), "left")
     fields = rows.schema["doc"].dataType.simpleString()
-    return joined.select("doc", "digest", "copy", "spans").mapInArrow(
+    return joined.select("doc", "found").mapInArrow(
         partial(_removed, window=window),
         f"doc {fields}, n_words long, n_removed long, kept_text string",
     )
