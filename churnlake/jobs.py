@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from churnlake.layout import Layout
 from churnlake.plans.gold import VALID_FROM, run_gold
 from churnlake.plans.silver import run_silver
+from churnlake.scratch import staging
 
 
 def main(arguments: list[str] | None = None) -> int:
@@ -24,11 +25,12 @@ def main(arguments: list[str] | None = None) -> int:
     options = parser.parse_args(arguments)
     spark = SparkSession.builder.appName(f"churnlake-{options.layer}").getOrCreate()
     layout = Layout(options.root.rstrip("/"))
-    if options.layer == "gold":
-        run_gold(spark, layout, options.valid_from, options.replace)
-        return 0
-    as_of = F.to_date(F.lit(options.as_of)) if options.as_of else None
-    status = run_silver(spark, layout, as_of, multi_line=not options.json_lines)
+    with staging(spark, options.layer):
+        if options.layer == "gold":
+            run_gold(spark, layout, options.valid_from, options.replace)
+            return 0
+        as_of = F.to_date(F.lit(options.as_of)) if options.as_of else None
+        status = run_silver(spark, layout, as_of, multi_line=not options.json_lines)
     for name, outcome in status.items():
         print(f"{name}: {outcome}")
     return 0 if all(outcome == "SUCCESS" for outcome in status.values()) else 1

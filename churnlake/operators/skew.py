@@ -2,31 +2,34 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A key with more rows than this is spread over several tasks.
-HOT_ROWS = 1_000_000
-
-# Rows of the hot-key table. A key that is not among the first thousand holds
-# under a thousandth of all rows and needs no spreading.
-HOT_KEYS = 1_000
+from churnlake.scratch import stage
 
 # Rows without a key match nothing; they are dealt out over this many salts.
 NULL_SALTS = 1 << 20
 
 
-def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """(key, splits) of the heaviest keys, at most ``HOT_KEYS`` rows."""
-    return (
-        df.where(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .where(F.col("_rows") > hot_rows)
-        .orderBy(F.desc("_rows"), key)
-        .limit(HOT_KEYS)
-        .select(key, F.ceil(F.col("_rows") / hot_rows).cast("long").alias("_splits"))
+def hot_keys(df: DataFrame, key: str, width: int | None = None) -> DataFrame:
+    """(key, splits) of the keys with more than a task's share of the rows.
+
+    ``width`` is the number of tasks, by default that of the shuffle. Since the
+    rows of all keys add up, at most ``width`` keys can be hot. Rows are counted
+    once; the counts per key are stored.
+    """
+    if width is None:
+        width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = stage(
+        df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_rows")),
+        "key-counts",
     )
+    total = counts.agg(F.sum("_rows")).first()[0] or 0
+    share = max(1, math.ceil(total / width))
+    splits = F.ceil(F.col("_rows") / share).cast("long")
+    return counts.where(F.col("_rows") > share).select(key, splits.alias("_splits"))
 
 
 def spread_lookup(
@@ -36,8 +39,8 @@ def spread_lookup(
 
     Rows of a hot key are dealt out over its splits by the hash of their id,
     and the lookup row is repeated once per split. The hash makes a task that
-    runs again deal the same way. ``hot`` has at most ``HOT_KEYS`` rows, so
-    broadcasting it is safe at any scale.
+    runs again deal the same way. ``hot`` has at most as many rows as the shuffle
+    has tasks, so broadcasting it is safe at any scale.
     """
     small = F.broadcast(hot)
     salt = (

@@ -75,15 +75,20 @@ def churn_trend(mart: DataFrame) -> DataFrame:
 
 
 def most_supported_customers(fact: DataFrame, dim: DataFrame, limit: int = 10) -> DataFrame:
-    """The mean is taken over the months of a customer, quiet ones included."""
+    """The mean is taken over the months of a customer, quiet ones included.
+
+    Every fact row has its customer, so the top is taken before the join.
+    """
     per_customer = fact.groupBy("cust_key", "customer_id").agg(
         F.sum("ticket_count").alias("total_tickets"),
         F.round(F.avg("avg_resolution_time"), 2).alias("avg_resolution_time"),
     )
+    order = (F.desc("total_tickets"), "customer_id")
     return (
-        per_customer.join(dim.select("cust_key", "CLV_LTV", "is_churned"), "cust_key")
-        .orderBy(F.desc("total_tickets"), "customer_id")
+        per_customer.orderBy(*order)
         .limit(limit)
+        .join(dim.select("cust_key", "CLV_LTV", "is_churned"), "cust_key")
+        .orderBy(*order)
         .select("customer_id", "total_tickets", "avg_resolution_time", "CLV_LTV", "is_churned")
     )
 

@@ -5,7 +5,7 @@ The monthly mart stays out: it is computed from the label.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from churnlake.operators.keys import dense_key
@@ -85,10 +85,10 @@ def class_counts(df: DataFrame, label: str = LABEL) -> dict[int, int]:
 
 
 def class_balance(features: DataFrame, label: str = LABEL) -> DataFrame:
-    """The share of each class. The window runs over the class rows only."""
+    """The share of each class, of the rows in all classes."""
+    total = sum(class_counts(features, label).values())
     counts = features.groupBy(label).agg(F.count(F.lit(1)).alias("customers"))
-    total = F.sum("customers").over(Window.partitionBy())
-    return counts.withColumn("share", F.col("customers") / total).orderBy(label)
+    return counts.withColumn("share", F.col("customers") / F.lit(total)).orderBy(label)
 
 
 def label_correlation(

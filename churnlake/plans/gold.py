@@ -325,10 +325,12 @@ def build_gold(
 
 
 def register_gold(spark: SparkSession, layout: Layout, database: str = "default") -> None:
-    """External tables over the stored gold files."""
+    """External tables over the stored gold files; a table of the same name that
+    points elsewhere is replaced, its files stay."""
     for table in TABLES:
+        spark.sql(f"DROP TABLE IF EXISTS {database}.{table}_gold")
         spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {database}.{table}_gold "
+            f"CREATE TABLE {database}.{table}_gold "
             f"USING PARQUET LOCATION '{layout.gold(table)}'"
         )
 
@@ -353,22 +355,24 @@ def run_gold(
     valid_from: str = VALID_FROM,
     replace: bool = False,
 ) -> DataFrame:
-    """Build, store and check the gold tables; returns the quality report.
+    """Build, check and store the gold tables; returns the quality report.
 
-    Existing gold tables are only replaced when ``replace`` is set.
+    The checks run on staged tables, so a failed one leaves the stored tables as
+    they were. Existing gold tables are only replaced when ``replace`` is set.
     """
     sources = ("customers", "customer_support_tickets", "offers", "usage")
     paths = [layout.silver(source) for source in sources]
     require_inputs(spark, paths)
     if not replace:
         require_absent(spark, [layout.gold(table) for table in TABLES])
-    gold = build_gold(*[spark.read.parquet(path) for path in paths], valid_from=valid_from)
+    built = build_gold(*[spark.read.parquet(path) for path in paths], valid_from=valid_from)
+    gold = Gold(stage(built.dim, "dim"), stage(built.fact, "fact"), stage(built.mart, "mart"))
+    report = quality_report(gold.dim, gold.fact, gold.mart)
+    report.show(100, truncate=False)
+    require_passed(report)
     write_dataset(gold.dim, layout.gold("dim_customer"), replace)
     write_dataset(gold.fact, layout.gold("fact_customer_activity"), replace)
     write_report(gold.mart, layout.gold("monthly_churn_rate"), replace)
     stored = read_gold(spark, layout)
     row_counts(stored).show(truncate=False)
-    report = quality_report(stored.dim, stored.fact, stored.mart)
-    report.show(100, truncate=False)
-    require_passed(report)
-    return report
+    return quality_report(stored.dim, stored.fact, stored.mart)

@@ -25,8 +25,10 @@ SEED = 42
 # that each level takes one pass over the rows.
 LEVEL_MEMORY_MB = 512
 
-# Rows worth a task of their own, beyond one task per core.
-ROWS_PER_TASK = 10_000
+# Partitions the training rows are dealt out to. The forest draws its samples
+# partition by partition, so this is a parameter of the model and must not
+# depend on the cluster or the settings; raise it for larger training sets.
+TRAINING_PARTITIONS = 32
 
 PREDICTION_COLUMNS = (
     "customer_id",
@@ -60,13 +62,11 @@ def with_class_weights(df: DataFrame, label: str = LABEL) -> DataFrame:
     return df.withColumn("weight", weight)
 
 
-def spread_rows(df: DataFrame, row_id: str = "customer_id") -> DataFrame:
-    """Deal the rows out over all cores. A forest works long on few bytes, so
-    partitions sized by bytes would leave most cores idle."""
-    spark = df.sparkSession
-    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = min(width, df.count() // ROWS_PER_TASK)
-    return df.repartition(max(wanted, spark.sparkContext.defaultParallelism), row_id)
+def training_rows(
+    df: DataFrame, row_id: str = "customer_id", partitions: int = TRAINING_PARTITIONS
+) -> DataFrame:
+    """The rows dealt out by id and sorted, the same on every cluster."""
+    return df.repartition(partitions, row_id).sortWithinPartitions(row_id)
 
 
 def train(
@@ -89,9 +89,10 @@ def train(
             maxDepth=depth,
             seed=seed,
             maxMemoryInMB=LEVEL_MEMORY_MB,
+            cacheNodeIds=True,
         ),
     ]
-    rows = spread_rows(complete(training)).persist()
+    rows = training_rows(complete(training)).persist()
     try:
         return Pipeline(stages=stages).fit(with_class_weights(rows, label))
     finally:
@@ -115,11 +116,11 @@ def score(model: PipelineModel, features: DataFrame) -> DataFrame:
 def predict(model: PipelineModel, features: DataFrame) -> DataFrame:
     """The stored predictions of all customers.
 
-    Hundreds of trees make a row expensive, so the rows are dealt out over all
-    cores, and they are stored: a sort by risk would otherwise score every row
-    once to find its ranges and once more to sort.
+    Hundreds of trees make a row expensive, so the predictions are stored: a
+    sort by risk would otherwise score every row once to find its ranges and
+    once more to sort.
     """
-    return stage(score(model, spread_rows(features)), "predictions")
+    return stage(score(model, features), "predictions")
 
 
 def ranked_by_risk(predictions: DataFrame) -> DataFrame:

@@ -1,12 +1,15 @@
 """Staging tables that cut lineage and survive the loss of an executor.
 
-All of one application's staging tables lie in one folder, which ``release``
-deletes when the application no longer needs them.
+All staging tables of an application lie in one folder, which ``release``
+deletes. A job that runs inside ``staging`` leaves none behind, whether it ends
+or fails.
 """
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,8 +29,28 @@ def application_dir(spark: SparkSession) -> str:
     return f"{shared_dir(spark)}/churnlake-{spark.sparkContext.applicationId}"
 
 
+_OWNERS: list[str] = []
+
+
 def new_dir(spark: SparkSession, label: str) -> str:
-    return f"{application_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    return "/".join([application_dir(spark), *_OWNERS, f"{label}-{uuid.uuid4().hex}"])
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextmanager
+def staging(spark: SparkSession, job: str) -> Iterator[str]:
+    """A folder for the staging tables of one job, deleted at its end."""
+    folder = new_dir(spark, job)
+    _OWNERS.append(folder.rsplit("/", 1)[1])
+    try:
+        yield folder
+    finally:
+        _OWNERS.pop()
+        _delete(spark, folder)
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
@@ -43,5 +66,4 @@ def stage(df: DataFrame, label: str) -> DataFrame:
 
 def release(spark: SparkSession) -> None:
     """Delete the application's staging tables; nothing may read them any more."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(application_dir(spark))
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    _delete(spark, application_dir(spark))

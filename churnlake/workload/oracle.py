@@ -125,9 +125,10 @@ LINE_DATE = (
     "WHEN l_partkey % 101 = 33 THEN '2090-05-01' "
     f"ELSE {date_text('l_shipdate', 'l_linenumber % 5')} END"
 )
-LINE_ORDER = "(l_orderkey, l_linenumber, l_partkey, l_suppkey, v) AS sid"
+LINE_ORDER = "(l_orderkey, l_linenumber, l_partkey, l_suppkey, v, l_shipdate) AS sid"
 LINES = """FROM lineitem, (VALUES (0), (1)) versions(v)
-WHERE (v = 0 OR (l_orderkey + l_linenumber) % 25 = 0) AND l_returnflag = """
+WHERE (v = 0 OR (l_orderkey + l_linenumber) % 25 = 0) AND """
+TICKET_LINES = "(l_returnflag = 'R' OR (l_returnflag = 'N' AND l_orderkey % 2 = 0))"
 
 RAW_TICKETS = f"""
 SELECT CASE WHEN (l_orderkey * 3 + l_suppkey) % 89 = 7 THEN ''
@@ -146,7 +147,7 @@ SELECT CASE WHEN (l_orderkey * 3 + l_suppkey) % 89 = 7 THEN ''
     END AS resolution_time_hrs,
   {LINE_DATE} AS created_at,
   {LINE_ORDER}
-{LINES} 'R'
+{LINES} {TICKET_LINES}
 """
 
 RAW_OFFERS = f"""
@@ -163,7 +164,7 @@ SELECT CASE WHEN (l_orderkey * 3 + l_suppkey) % 89 = 7 THEN ''
       ELSE 'false' END END AS accepted,
   {LINE_DATE} AS date_offered,
   {LINE_ORDER}
-{LINES} 'A'
+{LINES} NOT {TICKET_LINES}
 """
 
 
@@ -672,6 +673,11 @@ FINAL: dict[str, str] = {
         f"SELECT {', '.join(COLUMNS['usage'])}, CASE WHEN copy_number > 1 "
         "THEN 'exact_duplicate' END AS rejection_reason FROM numbered_usage"
     ),
+    "source_lines": (
+        f"SELECT 'tickets' AS source, count(*) AS row_count FROM lineitem WHERE {TICKET_LINES} "
+        f"UNION ALL SELECT 'offers', count(*) FROM lineitem WHERE NOT {TICKET_LINES} "
+        "UNION ALL SELECT 'lineitem', count(*) FROM lineitem"
+    ),
     "dedupe_key": (
         f"SELECT {', '.join(COLUMNS['tickets'])}, CASE WHEN ticket_id IS NOT NULL AND "
         "row_number() OVER (PARTITION BY ticket_id ORDER BY sid) > 1 "

@@ -33,7 +33,7 @@ from churnlake.sources.readers import SOURCE_ID, import_table, read_csv, read_js
 from churnlake.sources.specs import CUSTOMERS, KNOWN_CUSTOMER, OFFERS, TICKETS, USAGE, SourceSpec
 from churnlake.streaming import landing
 from churnlake.workload import defects, lake
-from churnlake.workload.raw import RAW, as_of, raw_text, table
+from churnlake.workload.raw import RAW, as_of, line_counts, raw_text, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -180,6 +180,12 @@ def dedupe_exact(spark, sf_dir):
     return first.unionByName(dedupe.surplus_copies(collapsed, USAGE.columns))
 
 
+@query
+def source_lines(spark, sf_dir):
+    """Every line item is a row of one source."""
+    return line_counts(spark, sf_dir)
+
+
 @query
 def dedupe_key(spark, sf_dir):
     distinct = dedupe.collapse_copies(

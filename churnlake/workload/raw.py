@@ -203,22 +203,45 @@ def raw_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _lines(spark: SparkSession, sf_dir: str, returnflag: str) -> DataFrame:
-    """Line items of one return flag, some of them twice, with their arrival id.
+# Every line item is a ticket or an offer: returned ones and the even orders of
+# those not decided yet are tickets, all others offers.
+TICKET_LINES = "l_returnflag = 'R' OR (l_returnflag = 'N' AND l_orderkey % 2 = 0)"
 
-    Order and line number repeat, so the id also takes in part and supplier.
+
+def _lines(spark: SparkSession, sf_dir: str, tickets: bool) -> DataFrame:
+    """The line items of one source, some of them twice, with their arrival id.
+
+    Order and line number repeat, so the id also takes in part, supplier and
+    ship date.
     """
     rows = _repeat(
-        table(spark, sf_dir, "lineitem").where(F.col("l_returnflag") == returnflag),
+        table(spark, sf_dir, "lineitem").where(F.expr(TICKET_LINES) == tickets),
         _every("l_orderkey + l_linenumber", 25, 0),
     )
     line = F.expr("cast(l_orderkey * 10 + l_linenumber as decimal(38, 0))")
     wide = F.lit(100_000_000_000).cast("decimal(12, 0)")
     order = (line * wide + F.col("l_partkey")).cast("decimal(38, 0)")
-    source_id = (order * wide + F.col("l_suppkey") * 10 + F.col("version")).cast("decimal(38, 0)")
+    source_id = (order * wide + F.col("l_suppkey") * 10 + F.col("version")).cast("decimal(32, 0)")
+    day = F.datediff(F.col("l_shipdate"), F.lit("1970-01-01"))
+    source_id = (source_id * F.lit(100_000).cast("decimal(6, 0)") + day).cast("decimal(38, 0)")
     return rows.withColumn(SOURCE_ID, source_id)
 
 
+def line_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that tickets and offers have without their copies, and all line items."""
+    counted = [
+        rows.agg(F.count(F.lit(1)).alias("row_count")).select(
+            F.lit(name).alias("source"), "row_count"
+        )
+        for name, rows in (
+            ("tickets", _lines(spark, sf_dir, tickets=True).where(F.col("version") == FIRST)),
+            ("offers", _lines(spark, sf_dir, tickets=False).where(F.col("version") == FIRST)),
+            ("lineitem", table(spark, sf_dir, "lineitem")),
+        )
+    ]
+    return counted[0].unionByName(counted[1]).unionByName(counted[2])
+
+
 def _line_id() -> Column:
     return F.concat_ws("-", _string(F.col("l_orderkey")), _string(F.col("l_linenumber")))
 
@@ -269,7 +292,7 @@ def raw_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
             (_every("l_partkey", 101, 33), "2090-05-01"),
         ),
     }
-    return _lines(spark, sf_dir, "R").select(
+    return _lines(spark, sf_dir, tickets=True).select(
         *[cells[name].alias(name) for name in TICKETS.columns], SOURCE_ID
     )
 
@@ -301,7 +324,7 @@ def raw_offers(spark: SparkSession, sf_dir: str) -> DataFrame:
             (_every("l_partkey", 101, 33), "2090-05-01"),
         ),
     }
-    return _lines(spark, sf_dir, "A").select(
+    return _lines(spark, sf_dir, tickets=False).select(
         *[cells[name].alias(name) for name in OFFERS.columns], SOURCE_ID
     )
 

@@ -78,7 +78,7 @@ def test_spread_lookup_deals_out_hot_and_null_keys(spark):
     rows += [(500 + n, n % 50) for n in range(100)]
     df = spark.createDataFrame(rows, "id long, key long")
     lookup = spark.createDataFrame([(n, f"v{n}") for n in range(0, 40)], "key long, v string")
-    hot = skew.hot_keys(df, "key", hot_rows=20)
+    hot = skew.hot_keys(df, "key", width=20)
     assert [tuple(row) for row in hot.collect()] == [(1, 16)]
     joined = skew.spread_lookup(df, lookup, "key", F.col("id"), hot)
     expected = {n: f"v{key}" if key is not None and key < 40 else None for n, key in rows}
@@ -98,7 +98,7 @@ def test_spread_lookup_balances_the_shuffle(spark):
             "id", F.when(F.col("id") % 3 == 0, F.lit(5)).otherwise(F.col("id")).alias("key")
         )
         lookup = spark.range(20_000).select(F.col("id").alias("key"), F.lit(1).alias("v"))
-        hot = skew.hot_keys(df, "key", hot_rows=100)
+        hot = skew.hot_keys(df, "key", width=200)
         joined = skew.spread_lookup(df, lookup, "key", F.col("id"), hot)
         sizes = [
             row["count"]
@@ -111,6 +111,15 @@ def test_spread_lookup_balances_the_shuffle(spark):
         spark.conf.set("spark.sql.adaptive.enabled", adaptive)
 
 
+def test_every_hot_key_is_split(spark):
+    """1,500 of 2,500 keys are hot, and none is left out."""
+    df = spark.range(16_000).select(
+        F.when(F.col("id") < 15_000, F.col("id") % 1500).otherwise(F.col("id")).alias("key")
+    )
+    hot = {row.key: row["_splits"] for row in skew.hot_keys(df, "key", width=3200).collect()}
+    assert hot == dict.fromkeys(range(1500), 2)
+
+
 def test_foreign_key_operators(spark):
     child = spark.createDataFrame([(1, 1), (2, 2), (3, 9), (4, 9), (5, None)], "id long, k long")
     parent = spark.createDataFrame([(1,), (2,), (3,)], "k long")

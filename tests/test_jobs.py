@@ -2,6 +2,8 @@ import json
 import os
 
 import pytest
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 from silver_rows import AS_OF, GOOD
 
@@ -9,7 +11,7 @@ from churnlake import jobs
 from churnlake.layout import Layout
 from churnlake.plans.gold import build_gold, read_gold, register_gold, run_gold
 from churnlake.plans.silver import run_silver
-from churnlake.scratch import shared_dir
+from churnlake.scratch import application_dir, shared_dir
 from churnlake.sources.readers import (
     import_table,
     read_bronze,
@@ -105,9 +107,49 @@ def test_command_line(spark, layout):
     assert jobs.main(["silver", f"{layout.root}/nowhere"]) == 1
 
 
-def test_csv_width_is_checked(spark, layout):
-    with pytest.raises(ValueError, match="expected 5"):
-        read_csv(spark, layout.bronze(TICKETS.name), OFFERS.columns, header=True)
+def test_csv_width_is_checked_in_every_file(spark, layout, tmp_path):
+    with pytest.raises((PySparkException, Py4JError), match="MALFORMED"):
+        read_csv(spark, layout.bronze(TICKETS.name), OFFERS.columns, header=True).collect()
+    for name, text in (("a", "1,2,3\n"), ("b", "4,5\n"), ("c", "6,7,8,9\n")):
+        folder = tmp_path / name
+        folder.mkdir()
+        (folder / "x.csv").write_text(text)
+    read = lambda *names: read_csv(
+        spark, f"{tmp_path}/{{{','.join(names)}}}", ["x", "y", "z"], header=False
+    ).collect()
+    assert [tuple(row) for row in read("a")] == [("1", "2", "3")]
+    for narrow_or_wide in ("b", "c"):
+        with pytest.raises((PySparkException, Py4JError), match="MALFORMED"):
+            read("a", narrow_or_wide)
+
+
+def test_jobs_leave_no_staging_tables(spark, layout):
+    def staged():
+        folder = spark._jvm.org.apache.hadoop.fs.Path(application_dir(spark))
+        system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+        return {str(s.getPath()) for s in system.listStatus(folder)} if system.exists(folder) else set()
+
+    before = staged()
+    assert jobs.main(["silver", layout.root, "--as-of", AS_OF]) == 0
+    assert jobs.main(["gold", layout.root]) == 0
+    assert jobs.main(["silver", f"{layout.root}/nowhere"]) == 1
+    assert staged() == before
+
+
+def test_a_failed_check_leaves_the_stored_tables(spark, layout, monkeypatch):
+    assert jobs.main(["silver", layout.root, "--as-of", AS_OF]) == 0
+    run_gold(spark, layout)
+    before = read_gold(spark, layout).dim.count()
+
+    def fail(report):
+        raise ValueError("check failed")
+
+    monkeypatch.setattr("churnlake.plans.gold.require_passed", fail)
+    with pytest.raises(ValueError, match="check failed"):
+        run_gold(spark, layout, valid_from="1999-01-01", replace=True)
+    dim = read_gold(spark, layout).dim
+    assert dim.count() == before
+    assert dim.where("cast(dw_start_date as string) like '1999%'").count() == 0
 
 
 def test_json_fields_and_lines(spark, tmp_path):
@@ -151,8 +193,8 @@ class FakeSession:
 def test_staging_uses_the_named_folder():
     named = FakeSession("yarn", **{"spark.checkpoint.dir": "hdfs:///shared/"})
     assert shared_dir(named) == "hdfs:///shared"
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        shared_dir(FakeSession("yarn"))
+    stored = FakeSession("yarn", **{"spark.sql.warehouse.dir": "hdfs:///warehouse"})
+    assert shared_dir(stored) == "hdfs:///warehouse"
 
 
 def test_gold_from_empty_silver(spark):

@@ -129,3 +129,21 @@ def test_feature_table_of_an_inactive_customer(spark):
     assert model.complete(table).where("customer_id = 2").first().months_active == 0
     shares = {row.is_churned: row.share for row in features.class_balance(table).collect()}
     assert shares == {0: 0.5, 1: 0.5}
+
+
+def test_forest_does_not_depend_on_the_shuffle_width(spark, split):
+    training, test = split
+    width = spark.conf.get("spark.sql.shuffle.partitions")
+    seen = []
+    try:
+        for partitions in ("3", "11"):
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+            fitted = model.train(training, trees=10, depth=4)
+            scored = model.score(fitted, test).orderBy("customer_id").collect()
+            seen.append((fitted.stages[-1].featureImportances.toArray().tolist(), scored))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", width)
+    assert seen[0][0] == pytest.approx(seen[1][0])
+    assert [row.predicted_churn for row in seen[0][1]] == [
+        row.predicted_churn for row in seen[1][1]
+    ]

@@ -72,6 +72,12 @@ def test_first_of_key_join_is_not_on_the_key_alone(spark):
     assert all(SOURCE_ID in keys for keys in joins)
 
 
-def test_hot_key_table_is_bounded(spark):
+def test_hot_keys_are_not_capped(spark):
     plan = explained(QUERIES["fk_check"](spark, SF_DIR), "simple")
-    assert "TakeOrderedAndProject(limit=1000" in plan
+    assert "Limit" not in plan
+    assert "TakeOrdered" not in plan
+
+
+def test_customers_are_joined_after_the_top_ten(spark):
+    plan = explained(QUERIES["bi_q05"](spark, SF_DIR), "simple")
+    assert plan.index("Join") < plan.rindex("TakeOrderedAndProject(limit=10")
