@@ -6,15 +6,14 @@ where its first ``SEED`` words have the smallest hash among the first
 start of one, chosen by the window's own words and alike in every document.
 
 Suffixes are grouped by a prefix. It has ``SEED`` words where that leaves at
-most ``GROUP_ROWS`` suffixes, and is lengthened for larger groups as long as
-equal windows must agree on it. Prefixes of one document only are left out. A
-task builds the trees of its groups from the sorted suffixes and the lengths of
+most ``GROUP_ROWS`` suffixes; larger groups get the longest prefix on which equal
+windows must agree. Prefixes of one document only are left out. A task builds the trees of its groups from the sorted suffixes and the lengths of
 the prefixes that neighbours share; the suffixes below an internal node that is
 deep enough, and which also agree on the words before them, are the places of a
 repeated window.
 
-A group that is still too large at the longest prefix, such as a passage in a
-third of all documents, is dealt out in chunks. Each chunk reduces its windows
+The groups of the longest prefix may still be large, as for a passage in a third
+of all documents, and are dealt out in chunks. Each chunk reduces its windows
 to the distinct ones and the smallest document of each; only windows of several
 chunks are compared across them.
 """
@@ -40,7 +39,7 @@ GROUP_ROWS = 4096
 
 _INFO = "doc_id long, digest binary, n_words long, positions array<int>, seeds array<long>"
 _CONTEXTS = (
-    "seed long, middle long, longest long, size long, doc_id long, digest binary,"
+    "seed long, longest long, size long, doc_id long, digest binary,"
     " position int, before int, context binary"
 )
 _SPANS = "doc_id long, digest binary, low int, high int"
@@ -90,7 +89,7 @@ def _contexts(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Rec
     longest = window - offsets + 1
     for batch in pieces(batches, 64, text="text"):
         words = find_words(batch.column("text"))
-        middle, last = words.sequences((SEED + longest) // 2), words.sequences(longest)
+        last = words.sequences(longest)
         texts = batch.column("text").cast(pa.binary()).to_pylist()
         rows = []
         for at, (text, entry) in enumerate(
@@ -106,7 +105,6 @@ def _contexts(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Rec
                 rows.append(
                     (
                         one["seed"],
-                        int(middle[start].view(np.int64)),
                         int(last[start].view(np.int64)),
                         one["size"],
                         entry["doc_id"],
@@ -116,9 +114,9 @@ def _contexts(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Rec
                         text[words.starts[first] : words.ends[stop - 1]],
                     )
                 )
-        columns = list(zip(*rows, strict=True)) or [[]] * 9
-        kinds = [pa.int64()] * 5 + [pa.binary(), pa.int32(), pa.int32(), pa.binary()]
-        names = "seed middle longest size doc_id digest position before context".split()
+        columns = list(zip(*rows, strict=True)) or [[]] * 8
+        kinds = [pa.int64()] * 4 + [pa.binary(), pa.int32(), pa.int32(), pa.binary()]
+        names = "seed longest size doc_id digest position before context".split()
         yield pa.record_batch(
             [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names
         )
@@ -285,11 +283,13 @@ def repeated_spans(docs: DataFrame, *, window: int = 50) -> DataFrame:
     suffixes = entered.select(
         "doc_id", "digest", F.col("at.positions").alias("position"), F.col("at.seeds").alias("seed")
     )
-    several = (
+    # Stored, so that AQE can split a hot seed's side of the join.
+    several = stage(
         suffixes.groupBy("seed")
         .agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count("*").alias("size"))
         .where("low < high")
-        .select("seed", "size")
+        .select("seed", "size"),
+        "seeds",
     )
     found = (
         suffixes.join(several, "seed")
@@ -300,29 +300,19 @@ def repeated_spans(docs: DataFrame, *, window: int = 50) -> DataFrame:
         texts.join(found, "doc_id").mapInArrow(partial(_contexts, window=window), _CONTEXTS),
         "contexts",
     )
-    small = contexts.where(F.col("size") <= GROUP_ROWS).withColumn("prefix", F.col("seed"))
-    large = contexts.where(F.col("size") > GROUP_ROWS)
-    for name in ("middle", "longest"):
-        large = large.join(
-            contexts.where(F.col("size") > GROUP_ROWS).groupBy(name).agg(F.count("*").alias(f"of_{name}")),
-            name,
-        )
-    longer = large.where(F.least("of_middle", "of_longest") <= GROUP_ROWS).withColumn(
-        "prefix",
-        F.when(F.col("of_middle") <= GROUP_ROWS, F.col("middle")).otherwise(F.col("longest")),
+    chosen = ["doc_id", "digest", "position", "before", "context"]
+    grouped = contexts.where(F.col("size") <= GROUP_ROWS).select(
+        F.col("seed").alias("prefix"), *chosen
     )
-    chosen = ["prefix", "doc_id", "digest", "position", "before", "context"]
-    grouped = small.select(chosen).union(longer.select(chosen))
     spans = (
         grouped.repartition("prefix")
         .sortWithinPartitions("prefix")
         .mapInArrow(partial(_trees, window=window), _SPANS)
     )
-    solid = large.where(F.col("of_longest") > GROUP_ROWS).where(F.col("of_middle") > GROUP_ROWS)
-    solid = solid.withColumn(
-        "chunk",
-        F.pmod(F.xxhash64("doc_id", "position"), F.ceil(F.col("of_longest") / GROUP_ROWS) + 1),
-    ).select("longest", "chunk", "doc_id", "digest", "position", "before", "context")
+    chunk = F.pmod(F.xxhash64("doc_id", "position"), F.ceil(F.col("size") / GROUP_ROWS) + 1)
+    solid = contexts.where(F.col("size") > GROUP_ROWS).select(
+        "longest", chunk.alias("chunk"), *chosen
+    )
     solid = stage(solid, "solid")
     if not solid.isEmpty():
         windows = stage(
