@@ -239,7 +239,6 @@ def _chunk_windows(table: pa.Table, window: int) -> pa.Table:
     size = len(one)
     return pa.table(
         {
-            "longest": pa.array(np.full(size, table.column("longest")[0].as_py(), np.int64)),
             "chunk": pa.array(np.full(size, table.column("chunk")[0].as_py(), np.int64)),
             "one": pa.array(one.view(np.int64)),
             "two": pa.array(two.view(np.int64)),
@@ -309,16 +308,21 @@ def repeated_spans(docs: DataFrame, *, window: int = 50) -> DataFrame:
         .sortWithinPartitions("prefix")
         .mapInArrow(partial(_trees, window=window), _SPANS)
     )
-    chunk = F.pmod(F.xxhash64("doc_id", "position"), F.ceil(F.col("size") / GROUP_ROWS) + 1)
-    solid = contexts.where(F.col("size") > GROUP_ROWS).select(
-        "longest", chunk.alias("chunk"), *chosen
-    )
-    solid = stage(solid, "solid")
-    if not solid.isEmpty():
+    crowded = several.where(F.col("size") > GROUP_ROWS).agg(F.sum("size")).first()[0]
+    if crowded:
+        # A prefix goes to as many chunks as its seed needs, a chunk takes many.
+        salt = F.pmod(F.xxhash64("doc_id", "position"), F.ceil(F.col("size") / GROUP_ROWS))
+        chunks = F.lit(-(-crowded // GROUP_ROWS))
+        solid = stage(
+            contexts.where(F.col("size") > GROUP_ROWS).select(
+                F.pmod(F.xxhash64("longest", salt), chunks).alias("chunk"), *chosen
+            ),
+            "solid",
+        )
         windows = stage(
-            solid.groupBy("longest", "chunk").applyInArrow(
+            solid.groupBy("chunk").applyInArrow(
                 lambda table: _chunk_windows(table, window),
-                "longest long, chunk long, one long, two long, least long",
+                "chunk long, one long, two long, least long",
             ),
             "windows",
         )
@@ -328,15 +332,14 @@ def repeated_spans(docs: DataFrame, *, window: int = 50) -> DataFrame:
             .where("low < high")
         )
         known = windows.join(across, ["one", "two"]).where("least > low").select(
-            F.col("longest").alias("of_longest"),
             F.col("chunk").alias("of_chunk"),
             "one",
             "two",
             F.col("low").alias("least"),
         )
         spans = spans.union(
-            solid.groupBy("longest", "chunk")
-            .cogroup(known.groupBy("of_longest", "of_chunk"))
+            solid.groupBy("chunk")
+            .cogroup(known.groupBy("of_chunk"))
             .applyInArrow(lambda table, others: _chunk_spans(table, others, window), _SPANS)
         )
     spans = spans.groupBy("doc_id", "digest").agg(
