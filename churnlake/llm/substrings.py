@@ -174,19 +174,33 @@ def _tree_windows(groups: np.ndarray, grid: np.ndarray, docs: np.ndarray, window
     return found
 
 
-def _spans(table: pa.Table, found: np.ndarray, window: int) -> pa.RecordBatch:
-    """One span per suffix: its repeated windows overlap, so their union is one."""
+def _spans(table: pa.Table, found: np.ndarray, window: int) -> pa.Table:
+    """The repeated words of each document as spans that do not overlap.
+
+    The windows of one suffix overlap, so their union is one span."""
     rows = np.flatnonzero(found.any(axis=1))
-    position = table.column("position").to_numpy()[rows].astype(np.int32)
-    most = found.shape[1] - 1 - found[rows, ::-1].argmax(axis=1)
-    least = found[rows].argmax(axis=1)
-    taken = table.select(["doc_id", "digest"]).take(pa.array(rows)).combine_chunks()
+    position = table.column("position").to_numpy()[rows].astype(np.int64)
+    low = position - (found.shape[1] - 1 - found[rows, ::-1].argmax(axis=1))
+    high = position - found[rows].argmax(axis=1) + window
+    texts = table.column("digest").combine_chunks().dictionary_encode()
+    texts = pa.concat_arrays(texts.chunks) if isinstance(texts, pa.ChunkedArray) else texts
+    owners = np.stack([table.column("doc_id").to_numpy(), texts.indices.to_numpy()], axis=1)[rows]
+    _, owner = np.unique(owners, axis=0, return_inverse=True)
+    owner = owner.ravel()
+    order = np.lexsort((low, owner))
+    # Every owner gets its own range, so that one running maximum serves all.
+    apart = owner[order].astype(np.int64) << 32
+    low, high = low[order] + apart, np.maximum.accumulate(high[order] + apart)
+    new = np.append(True, low[1:] > high[:-1])[: len(low)]
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(low))[: len(first)] - 1
+    taken = table.select(["doc_id", "digest"]).take(pa.array(rows[order[first]]))
     return pa.table(
         {
             "doc_id": taken.column("doc_id"),
             "digest": taken.column("digest"),
-            "low": pa.array((position - most).astype(np.int32)),
-            "high": pa.array((position - least + window).astype(np.int32)),
+            "low": pa.array((low[first] - apart[first]).astype(np.int32)),
+            "high": pa.array((high[last] - apart[first]).astype(np.int32)),
         }
     )
 
@@ -311,7 +325,8 @@ def repeated_spans(docs: DataFrame, *, window: int = 50) -> DataFrame:
     crowded = several.where(F.col("size") > GROUP_ROWS).agg(F.sum("size")).first()[0]
     if crowded:
         # A prefix goes to as many chunks as its seed needs, a chunk takes many.
-        salt = F.pmod(F.xxhash64("doc_id", "position"), F.ceil(F.col("size") / GROUP_ROWS))
+        stretch = F.floor(F.col("position") / GROUP_ROWS)
+        salt = F.pmod(F.xxhash64("doc_id", stretch), F.ceil(F.col("size") / GROUP_ROWS))
         chunks = F.lit(-(-crowded // GROUP_ROWS))
         solid = stage(
             contexts.where(F.col("size") > GROUP_ROWS).select(
