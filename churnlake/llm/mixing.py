@@ -172,20 +172,22 @@ def mix_sources(
     are words. A null source, language or topic counts as ''. A document is kept
     if a hash of its doc_id, or of its text where that is null, lies below its
     probability, so a rerun keeps the same. A text without words has no weight
-    of its own and is drawn with the probability ``keep``.
+    of its own and is drawn with the probability ``keep``. The column name
+    ``_tokens`` is reserved.
     """
     text = F.coalesce("text", F.lit(""))
     words = n_words(text).cast("long")
     place = F.when(F.col("doc_id").isNotNull(), F.xxhash64(F.lit(seed), "doc_id")).otherwise(
         F.xxhash64(F.lit(seed), text)
     )
-    kind = genre(text, words) if topic is None else F.coalesce(topic, F.lit(""))
-    rows = docs.select(
+    kind = genre(text, F.col("_tokens")) if topic is None else F.coalesce(topic, F.lit(""))
+    # A column of its own, so that a text is split once.
+    rows = docs.withColumn("_tokens", words).select(
         F.struct(*docs.columns).alias("doc"),
         F.coalesce("source", F.lit("")).alias("source"),
         F.coalesce("lang", F.lit("")).alias("lang"),
         kind.alias("topic"),
-        words.alias("tokens"),
+        F.col("_tokens").alias("tokens"),
         (F.shiftrightunsigned(place, 11) / F.lit(float(1 << 53))).alias("draw"),
     )
     cells = stage(rows.groupBy(*CELL).agg(F.sum("tokens").alias("tokens")), "mixing-cells")
