@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from churnlake.operators.keys import key_reference
 from churnlake.plans.features import customer_features, stratified_split
-from churnlake.plans.gold import Gold, build_gold
+from churnlake.plans.gold import Gold, activity_rollup, build_dim, build_facts
 from churnlake.plans.model import load_model, save_model, select_features
 from churnlake.plans.silver import Silver, clean_source, standardize
 from churnlake.scratch import new_dir, stage
@@ -61,12 +61,29 @@ def clean_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, ...]:
     )
 
 
+def rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The activity of every customer and month, which all of gold is made from."""
+
+    def build() -> DataFrame:
+        _, tickets, offers, usage = clean_tables(spark, sf_dir)
+        return stage(activity_rollup(usage, tickets, offers), "activity-rollup")
+
+    return _once(spark, sf_dir, "rollup", build)
+
+
+def dim_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def build() -> DataFrame:
+        clean = silver_table(spark, sf_dir, CUSTOMERS).clean
+        return stage(build_dim(clean, rollup(spark, sf_dir)), "dim")
+
+    return _once(spark, sf_dir, "dim", build)
+
+
 def gold_tables(spark: SparkSession, sf_dir: str) -> Gold:
     def build() -> Gold:
-        fresh = build_gold(*clean_tables(spark, sf_dir))
-        return Gold(
-            stage(fresh.dim, "dim"), stage(fresh.fact, "fact"), stage(fresh.mart, "mart")
-        )
+        dim = dim_table(spark, sf_dir)
+        fact, mart = build_facts(rollup(spark, sf_dir), dim)
+        return Gold(dim, stage(fact, "fact"), stage(mart, "mart"))
 
     return _once(spark, sf_dir, "gold", build)
 

@@ -219,9 +219,7 @@ def fk_check(spark, sf_dir):
 
 @query
 def fk_semi(spark, sf_dir):
-    pairs = gold.offers_monthly(lake.silver_table(spark, sf_dir, OFFERS).clean).select(
-        "customer_id", "activity_month"
-    )
+    pairs = gold.monthly_measures(lake.rollup(spark, sf_dir), "offers").select(*gold.ACTIVITY_KEY)
     ids = lake.customer_ids(spark, sf_dir).withColumnRenamed("CustomerId", "customer_id")
     return keys.keep_known_keys(pairs, "customer_id", ids)
 
@@ -310,38 +308,38 @@ def reconcile(spark, sf_dir):
 
 @query
 def clv(spark, sf_dir):
-    usage = lake.silver_table(spark, sf_dir, USAGE).clean
-    return rounded(gold.customer_value(usage), "CLV_LTV")
+    return rounded(gold.customer_measures(lake.rollup(spark, sf_dir), "usage"), "CLV_LTV")
 
 
 @query
 def ticket_avg(spark, sf_dir):
-    tickets = lake.silver_table(spark, sf_dir, TICKETS).clean
-    return rounded(gold.ticket_average(tickets), "avg_ticket_res_time_hrs")
+    measures = gold.customer_measures(lake.rollup(spark, sf_dir), "tickets")
+    return rounded(measures, "avg_ticket_res_time_hrs")
 
 
 @query
 def usage_monthly(spark, sf_dir):
-    usage = lake.silver_table(spark, sf_dir, USAGE).clean
-    return rounded(gold.usage_monthly(usage), "total_balance", "avg_balance")
+    months = gold.monthly_measures(lake.rollup(spark, sf_dir), "usage")
+    return rounded(months, "total_balance", "avg_balance")
 
 
 @query
 def tickets_monthly(spark, sf_dir):
-    tickets = lake.silver_table(spark, sf_dir, TICKETS).clean
-    return rounded(gold.tickets_monthly(tickets), "avg_resolution_time")
+    months = gold.monthly_measures(lake.rollup(spark, sf_dir), "tickets")
+    return rounded(months, "avg_resolution_time")
 
 
 @query
 def offers_monthly(spark, sf_dir):
-    offers = lake.silver_table(spark, sf_dir, OFFERS).clean
-    return rounded(gold.offers_monthly(offers), "acceptance_rate")
+    months = gold.monthly_measures(lake.rollup(spark, sf_dir), "offers")
+    return rounded(months, "acceptance_rate")
 
 
 @query
 def activity_spine(spark, sf_dir):
-    customers, tickets, offers, usage = lake.clean_tables(spark, sf_dir)
-    return gold.activity_spine(usage, tickets, offers, gold.customer_base(customers))
+    """Every (customer, month) with any activity of a known customer."""
+    keyed = gold.build_keyed_fact(lake.rollup(spark, sf_dir), lake.dim_table(spark, sf_dir))
+    return keyed.select(*gold.ACTIVITY_KEY)
 
 
 @query
@@ -360,16 +358,14 @@ def surrogate_key_multi(spark, sf_dir):
 
 @query
 def gold_dim_customer(spark, sf_dir):
-    customers, tickets, offers, usage = lake.clean_tables(spark, sf_dir)
-    dim = gold.build_dim(customers, gold.activity_rollup(usage, tickets, offers))
+    customers = lake.silver_table(spark, sf_dir, CUSTOMERS).clean
+    dim = gold.build_dim(customers, lake.rollup(spark, sf_dir))
     return rounded(dim, "CLV_LTV", "avg_ticket_res_time_hrs")
 
 
 @query
 def gold_fact_activity(spark, sf_dir):
-    _, tickets, offers, usage = lake.clean_tables(spark, sf_dir)
-    dim = lake.gold_tables(spark, sf_dir).dim
-    fact = gold.build_keyed_fact(gold.activity_rollup(usage, tickets, offers), dim)
+    fact = gold.build_keyed_fact(lake.rollup(spark, sf_dir), lake.dim_table(spark, sf_dir))
     return rounded(
         fact.drop("is_churned"),
         "total_balance",

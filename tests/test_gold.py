@@ -90,33 +90,35 @@ def test_mart(built):
     assert sorted(map(tuple, stored.collect())) == sorted(map(tuple, rows.values()))
 
 
-def test_rollup_equals_separate_rollups(silver):
-    customers, tickets, offers, usage = silver
+def test_rollup_equals_separate_rollups(spark, silver):
+    for name, rows in zip(("customers", "tickets", "offers", "usage"), silver, strict=True):
+        rows.createOrReplaceTempView(f"separate_{name}")
+    _, tickets, offers, usage = silver
     rollup = gold.activity_rollup(usage, tickets, offers)
-    parts = (
-        gold.usage_monthly(usage)
-        .join(gold.tickets_monthly(tickets), list(gold.ACTIVITY_KEY), "full")
-        .join(gold.offers_monthly(offers), list(gold.ACTIVITY_KEY), "full")
-        .fillna(0)
-    )
-    names = [
-        "customer_id",
-        "activity_month",
-        "usage_events",
-        "ticket_count",
-        "offer_count",
-        "accepted_offers",
-    ]
-    assert sorted(map(tuple, rollup.select(names).collect())) == sorted(
-        map(tuple, parts.select(names).collect())
-    )
-    measures = {row.customer_id: row for row in gold.customer_measures(rollup).collect()}
-    for row in gold.customer_value(usage).collect():
-        assert measures[row.customer_id].CLV_LTV == pytest.approx(row.CLV_LTV)
-    for row in gold.ticket_average(tickets).collect():
-        assert measures[row.customer_id].avg_ticket_res_time_hrs == row.avg_ticket_res_time_hrs
-    spine = gold.activity_spine(usage, tickets, offers, gold.customer_base(customers))
-    assert spine.count() == 6
+    by_month = "FROM separate_{} GROUP BY customer_id, activity_month"
+    separate = {
+        "usage": "SELECT customer_id, usage_month AS activity_month, count(usage_log_id), "
+        "sum(monthly_balance), avg(monthly_balance)",
+        "tickets": "SELECT customer_id, date_format(created_at, 'yyyy-MM') AS activity_month, "
+        "count(ticket_id), avg(resolution_time_hrs)",
+        "offers": "SELECT customer_id, date_format(date_offered, 'yyyy-MM') AS activity_month, "
+        "count(offer_id), count_if(accepted = 1), avg(accepted)",
+    }
+    months = set()
+    for source, query in separate.items():
+        rows = sorted(map(tuple, spark.sql(f"{query} {by_month.format(source)}").collect()))
+        assert sorted(map(tuple, gold.monthly_measures(rollup, source).collect())) == rows
+        months.update(row[:2] for row in rows)
+    spine = gold.monthly_measures(rollup).select(*gold.ACTIVITY_KEY).collect()
+    assert sorted(map(tuple, spine)) == sorted(months)
+    overall = {
+        "usage": "SELECT customer_id, avg(monthly_balance) * count(DISTINCT usage_month)",
+        "tickets": "SELECT customer_id, avg(resolution_time_hrs)",
+    }
+    for source, query in overall.items():
+        rows = spark.sql(f"{query} FROM separate_{source} GROUP BY customer_id").collect()
+        measures = {row[0]: row[1] for row in gold.customer_measures(rollup, source).collect()}
+        assert measures == {row[0]: pytest.approx(row[1]) for row in rows}
 
 
 def test_rollup_takes_one_shuffle(silver):
@@ -129,12 +131,15 @@ def test_rollup_takes_one_shuffle(silver):
 
 def test_usage_month_date_is_preferred(spark):
     usage = spark.createDataFrame(
-        [("u", 1, "junk", day("2024-05-06"))],
-        "usage_log_id string, customer_id long, usage_month string, usage_month_date date",
+        [("u", 1, "junk", day("2024-05-06"), 1.0)],
+        "usage_log_id string, customer_id long, usage_month string, usage_month_date date, "
+        "monthly_balance double",
+    )
+    assert gold.dated_rows(usage, "usage").first().activity_month == "2024-05"
+    raw = usage.drop("usage_month", "usage_month_date").crossJoin(
+        spark.createDataFrame([("10/2025",), ("2025/10",)], "usage_month string")
     )
-    assert gold.usage_activity(usage).first().activity_month == "2024-05"
-    raw = spark.createDataFrame([("10/2025",), ("2025/10",)], "usage_month string")
-    assert {row.activity_month for row in gold.usage_activity(raw).collect()} == {"2025-10"}
+    assert {row.activity_month for row in gold.dated_rows(raw, "usage").collect()} == {"2025-10"}
 
 
 def test_customer_columns_in_lower_case(spark):
