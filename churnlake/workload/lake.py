@@ -4,16 +4,20 @@ from __future__ import annotations
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from churnlake.operators.keys import key_reference
-from churnlake.plans.features import customer_features, stratified_split
+from churnlake.plans.features import LABEL, customer_features, stratified_split
 from churnlake.plans.gold import Gold, activity_rollup, build_dim, build_facts
-from churnlake.plans.model import load_model, save_model, select_features
+from churnlake.plans.model import importances, load_model, save_model, select_features
 from churnlake.plans.silver import Silver, clean_source, standardize
 from churnlake.scratch import new_dir, stage
 from churnlake.sources.specs import CUSTOMERS, OFFERS, TICKETS, USAGE, SourceSpec
 from churnlake.workload.raw import RAW, as_of
 
+# Trees of the model whose label one feature decides.
+SEPARABLE_TREES = 60
+
 _BUILT: dict[tuple[str, str, str], object] = {}
 
 
@@ -118,3 +122,24 @@ def trained(
         )
 
     return _once(spark, sf_dir, "model", build)
+
+
+def separable(
+    spark: SparkSession, sf_dir: str
+) -> tuple[DataFrame, PipelineModel, list[tuple[str, float]]]:
+    """The model on a label that num_products decides, so that SQL can state what
+    it predicts: the split customers, the final model, saved and loaded again, and
+    the importances of the baseline."""
+
+    def build() -> tuple[DataFrame, PipelineModel, list[tuple[str, float]]]:
+        gold = gold_tables(spark, sf_dir)
+        labelled = customer_features(gold.dim, gold.fact).withColumn(
+            LABEL, (F.col("num_products") >= 3).cast("int")
+        )
+        split = stage(stratified_split(labelled), "separable")
+        chosen = select_features(split.where("split = 'train'"), trees=SEPARABLE_TREES)
+        path = new_dir(spark, "models")
+        save_model(chosen.final, path)
+        return split, load_model(path), importances(chosen.baseline)
+
+    return _once(spark, sf_dir, "separable", build)

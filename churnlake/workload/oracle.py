@@ -587,7 +587,21 @@ LEFT JOIN (
   FROM fact GROUP BY customer_id) a USING (customer_id)
 LEFT JOIN last_month l USING (customer_id)"""
 
+
+
+def _split_rows(customers: str) -> str:
+    return f"""
+SELECT customer_id, is_churned, CASE WHEN row_number() OVER (
+    PARTITION BY is_churned ORDER BY md5('42:' || customer_id), customer_id)
+  <= round(0.2 * count(*) OVER (PARTITION BY is_churned)) THEN 'test' ELSE 'train' END AS split
+FROM {customers}"""
+
+
 SUBQUERIES |= {
+    "split_rows": _split_rows("dim"),
+    "separable_rows": _split_rows(
+        "(SELECT customer_id, CAST(num_products >= 3 AS INTEGER) AS is_churned FROM dim)"
+    ),
     "last_month": """
 SELECT customer_id, usage_events AS last_usage_events, total_balance AS last_total_balance,
   ticket_count AS last_ticket_count
@@ -881,11 +895,7 @@ GROUP BY 1""",
         + " + ".join(f"count(*) FILTER ({name} IS NULL)" for name in FEATURES)
         + " AS missing_values FROM feature_rows"
     ),
-    "ml_split": """
-SELECT customer_id, is_churned, CASE WHEN row_number() OVER (
-    PARTITION BY is_churned ORDER BY md5('42:' || customer_id), customer_id)
-  <= round(0.2 * count(*) OVER (PARTITION BY is_churned)) THEN 'test' ELSE 'train' END AS split
-FROM dim""",
+    "ml_split": _split_rows("dim"),
     "ml_confusion_rule": (
         "SELECT actual_churn, predicted_churn, count(*) AS customers FROM rule_rows GROUP BY ALL"
     ),
@@ -908,6 +918,42 @@ SELECT round(avg(CASE WHEN actual_churn = predicted_churn THEN 1.0 ELSE 0.0 END)
 FROM (
   SELECT *, rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / 2 AS mid
   FROM rule_rows)""",
+    "ml_class_weights": (
+        "SELECT is_churned, count(*) AS customers, round((SELECT count(*) FROM split_rows "
+        "WHERE split = 'train') / (2 * count(*)) + 1e-9, 6) AS weight "
+        "FROM split_rows WHERE split = 'train' GROUP BY is_churned"
+    ),
+    "ml_scaler": " UNION ALL ".join(
+        f"SELECT '{name}' AS feature, round(avg(coalesce({name}, 0)) + 1e-9, 3) AS mean, "
+        f"round(stddev_samp(coalesce({name}, 0)) + 1e-9, 3) AS deviation "
+        "FROM feature_rows JOIN split_rows USING (customer_id) WHERE split = 'train'"
+        for name in FEATURES
+    ),
+    "ml_score_rules": (
+        "SELECT customer_id, is_churned AS actual_churn, true AS consistent FROM dim"
+    ),
+    "ml_importance_total": " UNION ALL ".join(
+        f"SELECT '{name}' AS feature, true AS not_negative, CAST(1 AS DOUBLE) AS total"
+        for name in FEATURES
+    ),
+    "ml_separable_score": (
+        "SELECT customer_id, is_churned AS actual_churn, is_churned AS predicted_churn, "
+        "CAST(is_churned AS DOUBLE) AS churn_probability, CASE WHEN is_churned = 1 "
+        "THEN 'Likely to churn' ELSE 'Likely to stay' END AS prediction_label FROM separable_rows"
+    ),
+    "ml_separable_confusion": (
+        "SELECT is_churned AS actual_churn, is_churned AS predicted_churn, count(*) AS customers "
+        "FROM separable_rows WHERE split = 'test' GROUP BY ALL"
+    ),
+    "ml_separable_class_report": (
+        "SELECT is_churned AS class, CAST(1 AS DOUBLE) AS precision, CAST(1 AS DOUBLE) AS recall, "
+        "count(*) AS support, CAST(1 AS DOUBLE) AS f1 "
+        "FROM separable_rows WHERE split = 'test' GROUP BY is_churned"
+    ),
+    "ml_separable_eval": (
+        "SELECT unnest(['accuracy', 'roc_auc']) AS metric, CAST(1 AS DOUBLE) AS value"
+    ),
+    "ml_separable_first": "SELECT 'num_products' AS feature, true AS kept",
 }
 
 ORACLES: dict[str, str] = {name: with_chain(sql) for name, sql in FINAL.items()}

@@ -653,3 +653,89 @@ def ml_eval_rule(spark, sf_dir):
     return rounded(
         model.accuracy(predictions).withColumn("roc_auc", F.lit(area)), "accuracy", "roc_auc"
     )
+
+
+@query
+def ml_class_weights(spark, sf_dir):
+    training, _ = lake.split_features(spark, sf_dir)
+    weighted = model.with_class_weights(training)
+    weights = weighted.groupBy("is_churned", "weight").agg(F.count(F.lit(1)).alias("customers"))
+    return rounded(weights, "weight")
+
+
+@query
+def ml_scaler(spark, sf_dir):
+    """Mean and sample deviation that the baseline's scaler learned."""
+    baseline, _, _ = lake.trained(spark, sf_dir)
+    assembler, scaler = baseline.stages[:2]
+    learned = zip(assembler.getInputCols(), scaler.mean.tolist(), scaler.std.tolist(), strict=True)
+    rows = spark.createDataFrame(list(learned), "feature string, mean double, deviation double")
+    return rows.select(
+        "feature", *[F.round(F.col(name) + NUDGE, 3).alias(name) for name in ("mean", "deviation")]
+    )
+
+
+@query
+def ml_score_rules(spark, sf_dir):
+    """Whether each prediction of the final model agrees with its probability."""
+    _, final, _ = lake.trained(spark, sf_dir)
+    likely = F.col("churn_probability") > 0.5
+    text_of = F.when(likely, "Likely to churn").otherwise("Likely to stay")
+    return model.predict(final, _features(spark, sf_dir)).select(
+        "customer_id",
+        "actual_churn",
+        (
+            F.col("churn_probability").between(0, 1)
+            & (F.col("predicted_churn") == likely.cast("int"))
+            & (F.col("prediction_label") == text_of)
+        ).alias("consistent"),
+    )
+
+
+@query
+def ml_importance_total(spark, sf_dir):
+    """The names of the baseline's importances, and what they add up to."""
+    baseline, _, _ = lake.trained(spark, sf_dir)
+    weights = model.importances(baseline)
+    total = sum(weight for _, weight in weights)
+    rows = [(name, weight >= 0, round(total, 6)) for name, weight in weights]
+    return spark.createDataFrame(rows, "feature string, not_negative boolean, total double")
+
+
+@query
+def ml_separable_score(spark, sf_dir):
+    split, final, _ = lake.separable(spark, sf_dir)
+    scored = model.ranked_by_risk(model.predict(final, split))
+    return scored.withColumn("churn_probability", F.round("churn_probability", 1))
+
+
+def _separable_test(spark: SparkSession, sf_dir: str) -> DataFrame:
+    split, final, _ = lake.separable(spark, sf_dir)
+    return model.score(final, split.where("split = 'test'"))
+
+
+@query
+def ml_separable_confusion(spark, sf_dir):
+    return model.confusion_matrix(_separable_test(spark, sf_dir))
+
+
+@query
+def ml_separable_class_report(spark, sf_dir):
+    return model.class_report(_separable_test(spark, sf_dir))
+
+
+@query
+def ml_separable_eval(spark, sf_dir):
+    split, final, _ = lake.separable(spark, sf_dir)
+    found = model.evaluate(final, split.where("split = 'test'"))
+    rows = [(metric, round(value, 6)) for metric, value in found.items()]
+    return spark.createDataFrame(rows, "metric string, value double")
+
+
+@query
+def ml_separable_first(spark, sf_dir):
+    """The most important feature, and whether the final model has it."""
+    _, final, weights = lake.separable(spark, sf_dir)
+    first = weights[0][0]
+    kept = first in final.stages[0].getInputCols()
+    return spark.createDataFrame([(first, kept)], "feature string, kept boolean")
