@@ -41,15 +41,15 @@ class Targets:
 
 def n_words(text: Column) -> Column:
     """Words of a text; the token count used where none is given."""
-    spaced = F.trim(F.translate(text, "\t\n\x0b\x0c\r", "     "))
-    return F.when(spaced == "", 0).otherwise(F.size(F.split(spaced, " +")))
+    spaced = F.regexp_replace(text, r"[\x09-\x0D]", " ")
+    return F.size(F.array_remove(F.split(spaced, " "), ""))
 
 
 def genre(text: Column, words: Column) -> Column:
     """A topic by form, for corpora that bring none."""
     size = F.length(text)
-    bars = size - F.length(F.translate(text, "|", ""))
-    capitals = size - F.length(F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", ""))
+    bars = size - F.length(F.replace(text, F.lit("|"), F.lit("")))
+    capitals = F.length(F.regexp_replace(text, "[^A-Z]+", ""))
     return (
         F.when(bars * 10 > words, "table")
         .when(capitals * 2 > size, "loud")

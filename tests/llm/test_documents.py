@@ -1,6 +1,7 @@
 """The operators on documents against brute force, on odd rows and empty tables."""
 
 import hashlib
+import re
 import zlib
 from collections import Counter
 
@@ -233,3 +234,23 @@ def test_mixture_meets_its_targets(spark, none, odd):
     assert kept == pytest.approx(0.2 * rows.tokens.sum(), rel=0.1)
     assert mixing.mix_sources(odd).count() == odd.count()
     assert mixing.mix_sources(none).count() == 0
+
+
+def test_words_and_forms_of_a_text(spark, odd):
+    text = F.coalesce("text", F.lit(""))
+    forms = spark.createDataFrame(
+        [("",), (" | |",), ("ABC DEf\n",), ("a\x0bb\x1fc\u2003d",), ("w " * 100,), ("w\t\n" * 1500,)],
+        "text string",
+    ).unionByName(odd.select("text"))
+    for row in forms.select(
+        text.alias("text"),
+        mixing.n_words(text).alias("words"),
+        mixing.genre(text, mixing.n_words(text)).alias("form"),
+    ).collect():
+        words = len(re.findall(r"[^\x20\x09-\x0D]+", row.text))
+        capitals = len(re.findall("[A-Z]", row.text))
+        by_size = [(100, "note"), (400, "page"), (1500, "article")]
+        form = next((name for size, name in by_size if words < size), "book")
+        form = "loud" if capitals * 2 > len(row.text) else form
+        form = "table" if row.text.count("|") * 10 > words else form
+        assert (row.words, row.form) == (words, form)
