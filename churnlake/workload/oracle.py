@@ -938,7 +938,7 @@ FROM (
     ),
     "ml_separable_score": (
         "SELECT customer_id, is_churned AS actual_churn, is_churned AS predicted_churn, "
-        "CAST(is_churned AS DOUBLE) AS churn_probability, CASE WHEN is_churned = 1 "
+        "CASE WHEN is_churned = 1 "
         "THEN 'Likely to churn' ELSE 'Likely to stay' END AS prediction_label FROM separable_rows"
     ),
     "ml_separable_confusion": (

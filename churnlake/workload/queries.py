@@ -705,8 +705,8 @@ def ml_importance_total(spark, sf_dir):
 @query
 def ml_separable_score(spark, sf_dir):
     split, final, _ = lake.separable(spark, sf_dir)
-    scored = model.ranked_by_risk(model.predict(final, split))
-    return scored.withColumn("churn_probability", F.round("churn_probability", 1))
+    # How sure the forest is depends on the features its nodes draw, not on SQL.
+    return model.ranked_by_risk(model.predict(final, split)).drop("churn_probability")
 
 
 def _separable_test(spark: SparkSession, sf_dir: str) -> DataFrame:
