@@ -9,8 +9,10 @@ a text's features s, all interactions are (s**2 - sum of squares) / 2, so a text
 costs time linear in its features.
 
 Training takes at most ``sample`` labelled rows, those of the smallest hash of
-doc_id, and keeps the features that tell the labels apart, ``FEATURES`` at most. The
-model has a bounded size; every text is scored in a pass without a shuffle.
+doc_id. Which features enter is decided without the labels, by the number of rows
+they are in, so that those which matter only together are there; weights and
+factors that do not help are shrunk to zero during the fit. The model has a
+bounded size; every text is scored in a pass without a shuffle.
 """
 
 from __future__ import annotations
@@ -27,11 +29,15 @@ from pyspark.sql import functions as F
 from churnlake.llm.words import find_words, mix, pieces
 
 HASH_BITS = 22
-FEATURES = 1 << 13
-LEAST_FEATURES = 32
+FEATURES = 1 << 18
 FACTORS = 8
 SAMPLE = 10_000
 STEPS, BATCH = 1200, 128
+# Of weights and factors: the step, the squared slope a sum starts with, which
+# keeps a feature of few rows from large steps, and the pull to zero.
+WEIGHT_STEP, FACTOR_STEP = 3.0, 0.2
+PAST = 1e-4
+WEIGHT_PULL, FACTOR_PULL = 3e-5, 3e-5
 PREFIXES = (4, 5, 6)
 
 # Everything but letters; bytes above 127 belong to letters outside ASCII.
@@ -176,21 +182,19 @@ def train(
 ) -> Machine:
     """Fit a machine to rows of features by AdaGrad on the logistic loss.
 
+    All features in a few rows enter, of more than ``FEATURES`` those in most
+    rows. A weight, and a feature's factors as a group, are pulled to zero.
     Without rows of both labels the score is the smoothed share of label 1.
     """
     size, place = len(labels), np.full(1 << HASH_BITS, -1, np.int32)
     share = (labels.sum() + 0.5) / (size + 1)
     bias = float(np.log(share / (1 - share)))
-    rows = np.repeat(np.arange(size), np.diff(first))
-    seen = np.bincount(features, minlength=1 << HASH_BITS)
-    of_one = np.bincount(features, labels[rows], 1 << HASH_BITS)
+    # The driver holds the features of all rows, four bytes each, a few times.
+    seen = np.zeros(1 << HASH_BITS, np.int32)
+    for low in range(0, len(features), 1 << 20):
+        np.add.at(seen, features[low : low + (1 << 20)], 1)
     useful = np.flatnonzero(seen >= min(4, max(2, size // 100)))
-    expected = seen[useful] * share
-    strength = (of_one[useful] - expected) ** 2 / (expected * (1 - share) + 1)
-    order = np.lexsort((useful, -strength))
-    # What chance alone would not bring about among so many features.
-    telling = int((strength > 2 * np.log(max(len(useful), 2))).sum())
-    chosen = useful[order][: min(max(telling, LEAST_FEATURES), FEATURES)]
+    chosen = np.sort(useful[np.lexsort((useful, -seen[useful]))][:FEATURES])
     place[chosen] = np.arange(len(chosen))
     random = np.random.Generator(np.random.PCG64(seed))
     weights = np.zeros(len(chosen))
@@ -199,12 +203,13 @@ def train(
     machine = Machine(bias, place, whole, weights, factors)
     if not 0 < labels.sum() < size or not len(chosen):
         return Machine(bias, place, whole[:0], weights[:0], factors[:0])
-    at = place[features].astype(np.int64)
+    at = place[features]
     used = at >= 0
-    rows, at = rows[used], at[used]
-    starts = np.searchsorted(rows, np.arange(size + 1))
-    values = feature_values(rows, whole[at], size)
-    past, past_factors, past_bias = np.full(len(chosen), 1e-6), np.full(factors.shape, 1e-6), 1e-6
+    starts = np.append(0, np.cumsum(used, dtype=np.int32))[first]
+    at = at[used]
+    del used
+    past, past_factors, past_bias = np.full(len(chosen), PAST), np.full(factors.shape, PAST), 1e-6
+    slot = np.empty(len(chosen), np.int64)
     order = np.empty(0, np.int64)
     for _ in range(STEPS):
         if len(order) < BATCH:
@@ -213,23 +218,33 @@ def train(
         each = starts[batch + 1] - starts[batch]
         local = np.repeat(np.arange(len(batch)), each)
         index = np.repeat(starts[batch] - (np.cumsum(each) - each), each) + np.arange(each.sum())
-        own, value = at[index], values[index]
-        margin, sums = _margins(local, own, value, len(batch), weights, factors)
+        own = at[index]
+        value = feature_values(local, whole[own], len(batch))
+        touched = np.flatnonzero(np.bincount(own, minlength=len(chosen)))
+        slot[touched] = np.arange(len(touched))
+        own = slot[own]
+        weight, factor = weights[touched], factors[touched]
+        margin, sums = _margins(local, own, value, len(batch), weight, factor)
         error = (sigmoid(machine.bias + margin) - labels[batch]) / len(batch)
         step = error.sum()
         past_bias += step * step
         machine.bias -= 0.2 * step / np.sqrt(past_bias)
         pull = error[local] * value
-        touched, compact = np.unique(own, return_inverse=True)
-        slope = np.bincount(compact, pull, len(touched)) + 1e-6 * weights[touched]
+        slope = np.bincount(own, pull, len(touched)) + 1e-6 * weight
         past[touched] += slope * slope
-        weights[touched] -= 0.3 * slope / np.sqrt(past[touched])
-        for f in range(FACTORS):
-            rest = sums[f][local] - factors[own, f] * value
-            slope = np.bincount(compact, pull * rest, len(touched))
-            slope += 1e-5 * factors[touched, f]
-            past_factors[touched, f] += slope * slope
-            factors[touched, f] -= 0.05 * slope / np.sqrt(past_factors[touched, f])
+        rate = WEIGHT_STEP / np.sqrt(past[touched])
+        weight = weight - rate * slope
+        weights[touched] = np.sign(weight) * np.maximum(np.abs(weight) - WEIGHT_PULL * rate, 0)
+        slopes = 1e-5 * factor
+        for f, column in enumerate(factor.T):
+            rest = sums[f][local] - column[own] * value
+            slopes[:, f] += np.bincount(own, pull * rest, len(touched))
+        past_factors[touched] += slopes * slopes
+        factor = factor - FACTOR_STEP * slopes / np.sqrt(past_factors[touched])
+        rate = FACTOR_STEP / np.sqrt(past_factors[touched].mean(axis=1))
+        length = np.sqrt((factor * factor).sum(axis=1))
+        left = np.maximum(1 - FACTOR_PULL * rate / np.maximum(length, 1e-12), 0)
+        factors[touched] = factor * left[:, None]
     return machine
 
 
@@ -266,10 +281,12 @@ def fit(
         .toPandas()
     )
     rows = rows.sort_values(["label", "features"], kind="stable")
-    arrays = [np.frombuffer(bytes(one), np.uint32) for one in rows["features"]]
+    given = rows["label"].to_numpy(np.float64)
+    arrays = [np.frombuffer(one, np.uint32) for one in rows["features"]]
     first = np.cumsum([0, *(len(one) for one in arrays)])
-    features = np.concatenate([*arrays, np.empty(0, np.uint32)]).astype(np.int64)
-    return train(features, first, rows["label"].to_numpy(np.float64), structure=structure)
+    features = np.concatenate([*arrays, np.empty(0, np.uint32)])
+    del rows, arrays
+    return train(features, first, given, structure=structure)
 
 
 def score(docs: DataFrame, machine: Machine, *, structure: bool) -> DataFrame:

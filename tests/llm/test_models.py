@@ -45,6 +45,30 @@ def test_interactions_are_learned():
     assert ((machine.scores(np.concatenate(rows), first) >= 0.5) == labels).mean() > 0.95
 
 
+@pytest.mark.parametrize("neutral", [1, 10])
+def test_interactions_are_learned_among_many_telling_words(neutral):
+    """Half the rows have words that tell the label alone (150 of them), the
+    others have label 1 if exactly one of two words is there, as it may be in any."""
+    rng = np.random.Generator(np.random.PCG64(6))
+    labels, rows = rng.integers(0, 2, 8000), []
+    alone = rng.random(8000) < 0.5
+    for n, pair in enumerate(rng.random((8000, 2)) < 0.5):
+        row = [10 + i for i in range(2) if pair[i]]
+        if alone[n]:
+            row += list(1000 + 75 * labels[n] + rng.choice(75, 2, replace=False))
+        else:
+            labels[n] = pair[0] ^ pair[1]
+        rows.append(np.array(row + list(5000 + rng.choice(2000, neutral, replace=False))))
+    learned, held = rows[:4000], rows[4000:]
+    first = np.cumsum([0, *map(len, learned)])
+    machine = factorization.train(np.concatenate(learned), first, labels[:4000].astype(float))
+    assert machine.place[10] >= 0 and machine.place[11] >= 0
+    scores = machine.scores(np.concatenate(held), np.cumsum([0, *map(len, held)]))
+    right = (scores >= 0.5) == labels[4000:]
+    assert right[alone[4000:]].mean() > 0.95
+    assert right[~alone[4000:]].mean() > 0.95
+
+
 def test_labels_of_one_kind_or_none_give_a_constant(spark, odd, none):
     for labels in ([], [(1, 1), (2, 1), (None, 1), (3, None), (1, 1)]):
         known = spark.createDataFrame(labels, "doc_id long, label int")
