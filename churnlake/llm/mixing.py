@@ -6,12 +6,16 @@ their factors are computed where their cells are, and only the (language, topic)
 table, weighted by them, comes to the driver, which rakes it to the other two
 marginals. A sweep is one job over the stored cells.
 
-Documents are then drawn with a probability in proportion to their weight, at
-most 1, calibrated so that the expected tokens are the given share of all.
+Documents are then drawn with a probability, at most 1, under which the expected
+tokens are the given share of all and meet the same targets: the weights are
+raked once more, with cells at 1 held there and the others making up for them.
+A target beyond the tokens there are is met as far as they go; the others of its
+kind share the rest. Such targets are logged with what was reached.
 """
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -24,6 +28,10 @@ from churnlake.scratch import stage
 CELL = ("source", "lang", "topic")
 SWEEPS = 40
 TOLERANCE = 1e-6
+# Shares that differ by more are reported, the largest LISTED differences in the log.
+REPORTED, LISTED = 1e-5, 20
+
+log = logging.getLogger(__name__)
 
 
 @dataclass(frozen=True)
@@ -87,6 +95,24 @@ def rake_table(table: np.ndarray, rows: np.ndarray, columns: np.ndarray) -> tupl
     return a, b
 
 
+def _pair_table(rows: list, langs: list[str], topics: list[str], name: str) -> np.ndarray:
+    at = {(row.lang, row.topic): row[name] for row in rows}
+    return np.array([[at.get((x, y), 0) for y in topics] for x in langs], float)
+
+
+def _pair_targets(plain: np.ndarray, langs: list[str], topics: list[str], targets: Targets) -> list[np.ndarray]:
+    """Target shares of the languages and of the topics."""
+    return [
+        np.array(list(_target(dict(zip(names, plain.sum(axis=axis), strict=True)), name, targets).values()))
+        for name, names, axis in (("lang", langs, 1), ("topic", topics, 0))
+    ]
+
+
+def _pairs(spark, langs: list[str], topics: list[str], factor: np.ndarray) -> DataFrame:
+    rows = [(x, y, float(factor[i, j])) for i, x in enumerate(langs) for j, y in enumerate(topics)]
+    return spark.createDataFrame(rows, "lang string, topic string, factor double")
+
+
 def _source_factors(cells: DataFrame, pairs: DataFrame, temper: float) -> DataFrame:
     """The cells with ``mass``, their tokens times all factors. The pairs of
     language and topic are as few as the table on the driver."""
@@ -108,22 +134,15 @@ def cell_weights(cells: DataFrame, targets: Targets) -> DataFrame:
     totals = cells.groupBy("lang", "topic").agg(F.sum("tokens").alias("tokens")).collect()
     langs = sorted({row.lang for row in totals})
     topics = sorted({row.topic for row in totals})
-    at = {(row.lang, row.topic): row.tokens for row in totals}
-    plain = np.array([[at.get((x, y), 0) for y in topics] for x in langs], float)
+    plain = _pair_table(totals, langs, topics, "tokens")
     all_tokens = plain.sum()
     if not all_tokens:
         return cells.withColumn("weight", F.lit(1.0))
-    want = [
-        np.array(list(_target(dict(zip(names, plain.sum(axis=axis), strict=True)), name, targets).values()))
-        for name, names, axis in (("lang", langs, 1), ("topic", topics, 0))
-    ]
+    want = _pair_targets(plain, langs, topics, targets)
     factor = np.ones(plain.shape)
 
     def weighted() -> DataFrame:
-        rows = [
-            (x, y, float(factor[i, j])) for i, x in enumerate(langs) for j, y in enumerate(topics)
-        ]
-        pairs = spark.createDataFrame(rows, "lang string, topic string, factor double")
+        pairs = _pairs(spark, langs, topics, factor)
         return _source_factors(cells, pairs, targets.temper["source"])
 
     for _ in range(SWEEPS):
@@ -163,6 +182,163 @@ def calibration(weighted: DataFrame, keep: float) -> float:
     return factor
 
 
+def bounded_goals(shares: np.ndarray, limits: np.ndarray, total: float) -> np.ndarray:
+    """Amounts in proportion to ``shares``, none above its limit, that add up to
+    ``total`` or else to all that the limits allow."""
+    rate = np.divide(shares, limits, out=np.zeros(len(limits)), where=limits > 0)
+    return np.minimum(limits, fill(limits, rate, total) * shares)
+
+
+def fill(tokens: np.ndarray, rate: np.ndarray, goal: float) -> float:
+    """The least s with sum(tokens * min(1, s * rate)) = goal, or with all at 1.
+
+    The sum is the least of the lines that take the k largest rates for 1."""
+    there = (rate > 0) & (tokens > 0)
+    order = np.argsort(-rate[there], kind="stable")
+    size, part = tokens[there][order], (tokens * rate)[there][order]
+    if not len(size):
+        return 0.0
+    sure = np.cumsum(size) - size
+    rest = np.cumsum(part[::-1])[::-1]
+    return max(0.0, float(((min(goal, size.sum()) - sure) / rest).max()))
+
+
+def rake_bounded(
+    tokens: np.ndarray, rate: np.ndarray, rows: np.ndarray, columns: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Factors a, b of (row, column, bin) for which tokens * min(1, a * b * rate)
+    has these marginals, as far as they can be met together."""
+    a, b = np.ones(len(rows)), np.ones(len(columns))
+    for _ in range(200):
+        before = a, b
+        a = np.array([fill(tokens[i].ravel(), (rate[i] * b[:, None]).ravel(), rows[i]) for i in range(len(a))])
+        b = np.array(
+            [fill(tokens[:, j].ravel(), (rate[:, j] * a[:, None]).ravel(), columns[j]) for j in range(len(b))]
+        )
+        if all(np.allclose(x, y, rtol=1e-10, atol=0) for x, y in zip(before, (a, b), strict=True)):
+            break
+    return a, b
+
+
+def _filled_sources(cells: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``cells`` (source, lang, topic, tokens, weight, goal) with ``rate``, for
+    which tokens * min(1, rate) add up to the goal of each source; see ``fill``."""
+    by_source = Window.partitionBy("source")
+    falling = by_source.orderBy(F.desc("rate"), "lang", "topic")
+    up_to = falling.rowsBetween(Window.unboundedPreceding, 0)
+    onward = falling.rowsBetween(0, Window.unboundedFollowing)
+    rows = cells.join(F.broadcast(pairs), ["lang", "topic"]).withColumn("rate", F.col("weight") * F.col("factor"))
+    rows = rows.withColumn("sure", F.sum("tokens").over(up_to) - F.col("tokens"))
+    rows = rows.withColumn("rest", F.sum(F.col("tokens") * F.col("rate")).over(onward))
+    line = F.when(F.col("rest") > 0, (F.col("goal") - F.col("sure")) / F.col("rest"))
+    scale = F.greatest(F.lit(0.0), F.max(line).over(by_source))
+    return rows.withColumn("rate", F.col("rate") * F.coalesce(scale, F.lit(0.0))).drop("sure", "rest", "factor")
+
+
+def cell_probabilities(weighted: DataFrame, targets: Targets) -> DataFrame:
+    """``weighted``, as of ``cell_weights``, with ``probability``, at most 1.
+
+    The expected tokens are ``keep`` of all and their marginals meet the targets.
+    Cells of weight 0 stay at 0, so a value has at most its other tokens to give.
+    """
+    spark, temper = weighted.sparkSession, targets.temper["source"]
+    open_tokens = F.when(F.col("weight") > 0, F.col("tokens")).otherwise(0)
+    found = weighted.groupBy("lang", "topic").agg(
+        F.sum("tokens").alias("tokens"), F.sum(open_tokens).alias("open")
+    ).collect()
+    langs, topics = sorted({row.lang for row in found}), sorted({row.topic for row in found})
+    plain, free = (_pair_table(found, langs, topics, name) for name in ("tokens", "open"))
+    if not plain.sum():
+        return weighted.withColumn("probability", F.lit(targets.keep))
+    want = _pair_targets(plain, langs, topics, targets)
+    total = min(targets.keep * plain.sum(), free.sum())
+    if not total:
+        return weighted.withColumn("probability", F.lit(0.0))
+    goals = [bounded_goals(share, free.sum(axis=1 - axis), total) for axis, share in enumerate(want)]
+
+    by_source = Window.partitionBy("source")
+    share = F.pow(F.sum("tokens").over(by_source).cast("double"), F.lit(temper))
+    open_sum = F.sum(open_tokens).over(by_source)
+    cells = weighted.select(*CELL, "tokens", "weight", share.alias("share"), open_sum.alias("open"))
+    sources = cells.where("open > 0").groupBy("source").agg(
+        F.first("open").alias("tokens"), F.first("share").alias("share")
+    )
+    whole = sources.agg(F.sum("tokens").alias("tokens"), F.sum("share").alias("share")).first()
+    even = whole.tokens / whole.share
+    rate = F.col("share") * even
+    scale = calibration(sources.select("tokens", (rate / F.col("tokens")).alias("weight")), total / whole.tokens)
+    cells = stage(
+        cells.withColumn("goal", F.least(F.col("open").cast("double"), rate * scale)).drop("share", "open"),
+        "mixing-cells",
+    )
+
+    factor, gaps = np.ones(plain.shape), []
+    depth = F.greatest(F.lit(-64), F.least(F.lit(31), F.floor(F.log2("rate") * 4))) + 64
+    for _ in range(SWEEPS):
+        # A bin ends at rate 1, so that factors of 1 give the very sums of the cells.
+        bins = (
+            _filled_sources(cells, _pairs(spark, langs, topics, factor))
+            .where("rate > 0 and tokens > 0")
+            .groupBy("lang", "topic", depth.cast("int").alias("bin"))
+            .agg(F.sum("tokens").alias("tokens"), F.sum(F.col("tokens") * F.col("rate")).alias("mass"))
+            .collect()
+        )
+        tokens, mass = np.zeros((*plain.shape, 96)), np.zeros((*plain.shape, 96))
+        for row in bins:
+            at = langs.index(row.lang), topics.index(row.topic), row.bin
+            tokens[at], mass[at] = row.tokens, row.mass
+        expected = np.minimum(tokens, mass).sum(axis=2)
+        gap = max(np.abs(expected.sum(axis=1 - axis) - goals[axis]).max() / total for axis in (0, 1))
+        gaps.append(gap)
+        # Targets that contradict each other leave a gap that stays.
+        if gap < TOLERANCE or (len(gaps) > 4 and gap > 0.98 * gaps[-5]):
+            break
+        rates = np.divide(mass, tokens, out=np.zeros(mass.shape), where=tokens > 0)
+        a, b = rake_bounded(tokens, rates, *goals)
+        factor *= np.outer(a, b)
+        factor /= factor.max()
+    log.info("mixture: gaps of the sweeps %s", gaps)
+    filled = _filled_sources(cells, _pairs(spark, langs, topics, factor))
+    chance = F.least(F.lit(1.0), F.col("rate")).alias("probability")
+    return stage(filled.select(*CELL, "tokens", "weight", chance), "mixing-cells")
+
+
+def unmet_targets(cells: DataFrame, targets: Targets) -> DataFrame:
+    """(name, value, target, achieved) of the sources, languages and topics whose
+    share of the expected tokens of ``cell_probabilities`` is not their target."""
+    spark, found = cells.sparkSession, []
+    expected = F.sum(F.col("tokens") * F.col("probability"))
+    whole = cells.agg(expected).first()[0] or 1.0
+    for name in ("lang", "topic"):
+        rows = cells.groupBy(name).agg(F.sum("tokens").alias("tokens"), expected.alias("kept")).collect()
+        if not sum(row.tokens for row in rows):
+            continue
+        want = _target({row[name]: row.tokens for row in rows}, name, targets)
+        found += [(name, row[name], want[row[name]], row.kept / whole) for row in rows]
+    schema = "name string, value string, target double, achieved double"
+    sources = cells.groupBy("source").agg(F.sum("tokens").alias("tokens"), expected.alias("kept"))
+    share = F.pow(F.col("tokens").cast("double"), F.lit(targets.temper["source"]))
+    shares = sources.agg(F.sum(share)).first()[0] or 1.0
+    rows = sources.select(
+        F.lit("source").alias("name"),
+        F.col("source").alias("value"),
+        (share / F.lit(shares)).alias("target"),
+        (F.col("kept") / F.lit(whole)).alias("achieved"),
+    )
+    every = spark.createDataFrame(found, schema).unionByName(rows)
+    return every.where(F.abs(F.col("target") - F.col("achieved")) > REPORTED)
+
+
+def _report(cells: DataFrame, targets: Targets) -> None:
+    unmet = unmet_targets(cells, targets)
+    gap = F.abs(F.col("target") - F.col("achieved"))
+    worst = unmet.orderBy(F.desc(gap), "name", "value").limit(LISTED + 1).collect()
+    for row in worst[:LISTED]:
+        log.warning("mixture: %s %r has target %.6f, achieved %.6f", *row)
+    if len(worst) > LISTED:
+        log.warning("mixture: more targets are not met; unmet_targets lists them all")
+
+
 def mix_sources(
     docs: DataFrame, targets: Targets = Targets(), *, seed: int = 17, topic: Column | None = None
 ) -> DataFrame:
@@ -191,12 +367,10 @@ def mix_sources(
         (F.shiftrightunsigned(place, 11) / F.lit(float(1 << 53))).alias("draw"),
     )
     cells = stage(rows.groupBy(*CELL).agg(F.sum("tokens").alias("tokens")), "mixing-cells")
-    weighted = cell_weights(cells, targets)
-    factor = calibration(weighted, targets.keep)
-    chance = F.when(F.col("tokens") == 0, F.lit(targets.keep)).otherwise(
-        F.least(F.lit(1.0), F.col("weight") * F.lit(factor))
-    )
-    return rows.join(weighted.select(*CELL, "weight"), list(CELL)).select(
+    found = cell_probabilities(cell_weights(cells, targets), targets)
+    _report(found, targets)
+    chance = F.when(F.col("tokens") == 0, F.lit(targets.keep)).otherwise(F.col("probability"))
+    return rows.join(found.select(*CELL, "weight", "probability"), list(CELL)).select(
         "doc",
         "topic",
         "tokens",

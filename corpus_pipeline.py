@@ -47,7 +47,8 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A sample whose tokens follow the target shares."""
+    """A sample whose expected tokens follow the target shares, as far as there
+    are tokens for them."""
     return mix_sources(docs).where("kept").select("doc.*")
 
 

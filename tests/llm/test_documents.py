@@ -236,6 +236,39 @@ def test_mixture_meets_its_targets(spark, none, odd):
     assert mixing.mix_sources(none).count() == 0
 
 
+@pytest.mark.parametrize("german", [0.35, 0.5])
+def test_expected_sample_meets_its_targets_with_sure_cells(spark, caplog, german):
+    """A fifth of the tokens is German: 0.35 of half of all can be had, 0.5 not."""
+    rng = np.random.Generator(np.random.PCG64(4))
+    rows = [
+        (key, " ".join(["w"] * int(rng.integers(1, 60))), "en" if rng.random() < 0.8 else "de",
+         "hot" if rng.random() < 0.4 else f"s{rng.integers(0, 5)}", f"t{rng.choice(3, p=[0.5, 0.3, 0.2])}")
+        for key in range(4000)
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, topic string")
+    targets = mixing.Targets(keep=0.5, shares={"lang": {"en": 1 - german, "de": german}})
+    mixed = mixing.mix_sources(df, targets, topic=F.col("topic"))
+    rows = mixed.select("doc.lang", "doc.source", "topic", "tokens", "probability").toPandas()
+    expected = rows.probability * rows.tokens
+    assert rows.probability.between(0, 1).all()
+    assert (rows.probability == 1).any()
+    assert expected.sum() == pytest.approx(0.5 * rows.tokens.sum(), rel=1e-6)
+    for name, temper in (("source", 0.7), ("topic", 0.7)):
+        want = rows.groupby(name).tokens.sum() ** temper
+        got = expected.groupby(rows[name]).sum()
+        assert (got / got.sum()).to_numpy() == pytest.approx((want / want.sum()).to_numpy(), rel=1e-4)
+    share = expected[rows.lang == "de"].sum() / expected.sum()
+    reported = [r.getMessage() for r in caplog.records if r.levelname == "WARNING"]
+    if german == 0.35:
+        assert share == pytest.approx(0.35, rel=1e-4)
+        assert not reported
+    else:
+        there = rows.tokens[rows.lang == "de"].sum() / (0.5 * rows.tokens.sum())
+        assert share == pytest.approx(there, rel=1e-4)
+        assert f"mixture: lang 'de' has target 0.500000, achieved {share:.6f}" in reported
+        assert any(line.startswith("mixture: lang 'en' has target 0.500000") for line in reported)
+
+
 def test_words_and_forms_of_a_text(spark, odd):
     text = F.coalesce("text", F.lit(""))
     forms = spark.createDataFrame(
