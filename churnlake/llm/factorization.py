@@ -3,13 +3,15 @@
 A text's features are the words, cut at anything but letters, and their
 prefixes, hashed to ``HASH_BITS`` bits; with ``structure`` also how the text is
 built (case, symbols, repetition, line and word lengths) and its length, each
-cut into bins. The score is a sigmoid of a bias, a weight per feature and the
+cut into bins, and the numeric ``metadata`` columns that are named, in bins too.
+The score is a sigmoid of a bias, a weight per feature and the
 interaction of every two features, the product of their factors. With sums over
 a text's features s, all interactions are (s**2 - sum of squares) / 2, so a text
 costs time linear in its features.
 
-Training takes at most ``sample`` labelled rows, those of the smallest hash of
-doc_id. Which features enter is decided without the labels, by the number of rows
+Training takes at most ``sample`` labelled documents, those of the smallest hash
+of doc_id, with at most ``cells`` features together. It runs in one task, as both
+bounds fit there. Which features enter is decided without the labels, by the number of rows
 they are in, so that those which matter only together are there; weights and
 factors that do not help are shrunk to zero during the fit. The model has a
 bounded size; every text is scored in a pass without a shuffle.
@@ -23,15 +25,17 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnlake.llm.words import find_words, mix, pieces
+from churnlake.scratch import stage
 
 HASH_BITS = 22
 FEATURES = 1 << 18
 FACTORS = 8
 SAMPLE = 10_000
+CELLS = 1 << 24
 STEPS, BATCH = 1200, 128
 # Of weights and factors: the step, the squared slope a sum starts with, which
 # keeps a feature of few rows from large steps, and the pull to zero.
@@ -66,6 +70,25 @@ class Machine:
     weights: np.ndarray
     factors: np.ndarray
 
+    def packed(self) -> dict[str, float | bytes]:
+        """The machine without its places that no feature has; ``unpack`` undoes it."""
+        return {
+            "bias": self.bias,
+            "chosen": np.flatnonzero(self.place >= 0).astype(np.uint32).tobytes(),
+            "whole": self.whole.tobytes(),
+            "weights": self.weights.astype(np.float32).tobytes(),
+            "factors": self.factors.astype(np.float32).tobytes(),
+        }
+
+    @staticmethod
+    def unpack(packed: dict[str, float | bytes]) -> Machine:
+        chosen = np.frombuffer(packed["chosen"], np.uint32)
+        place = np.full(1 << HASH_BITS, -1, np.int32)
+        place[chosen] = np.arange(len(chosen))
+        weights, factors = (np.frombuffer(packed[name], np.float32) for name in ("weights", "factors"))
+        whole = np.frombuffer(packed["whole"], bool)
+        return Machine(packed["bias"], place, whole, weights, factors.reshape(-1, FACTORS))
+
     def scores(self, features: np.ndarray, first: np.ndarray) -> np.ndarray:
         rows = np.repeat(np.arange(len(first) - 1), np.diff(first))
         at = self.place[features] if len(self.weights) else np.full(len(features), -1)
@@ -120,6 +143,8 @@ def structure_features() -> np.ndarray:
 
 
 _SHARES = (0.002, 0.01, 0.03, 0.06, 0.1, 0.2, 0.35, 0.5, 0.7, 0.9)
+# Bin number of the first metadata column; below it are the statistics.
+_METADATA = 40
 _LENGTHS = (1, 5, 20, 50, 100, 200, 400, 800, 1600, 3200, 6400, 12800)
 
 
@@ -156,9 +181,12 @@ def _structure(column: pa.Array, words) -> list[np.ndarray]:
     return found + [_binned(50 + n, length, _LENGTHS) for n, length in enumerate(lengths)]
 
 
-def text_features(column: pa.Array, structure: bool) -> tuple[np.ndarray, np.ndarray]:
+def text_features(
+    column: pa.Array, structure: bool, metadata: list[pa.Array] = ()
+) -> tuple[np.ndarray, np.ndarray]:
     """Distinct hashed features of each text, and where each text's start."""
-    words = find_words(column, lower=True, apart=_APART, heads=() if structure else PREFIXES)
+    heads = () if structure else PREFIXES
+    words = find_words(column, lower=True, apart=_APART, heads=heads, rolling=True)
     rows = words.rows()
     features, owners = [_hashed(words.hashes)], [rows]
     for length, prefix in words.heads.items() if not structure else ():
@@ -166,9 +194,15 @@ def text_features(column: pa.Array, structure: bool) -> tuple[np.ndarray, np.nda
         features.append(_hashed(prefix[long] + np.uint64(length)))
         owners.append(rows[long])
     if structure:
-        for feature in _structure(column, find_words(column)):
+        for feature in _structure(column, find_words(column, rolling=True)):
             features.append(feature)
             owners.append(np.arange(len(column)))
+    for number, values in enumerate(metadata):
+        # Null and what is no number have a bin of their own, below that of 0.
+        known = values.cast(pa.float64()).fill_null(-1).to_numpy(zero_copy_only=False)
+        known = np.where(np.isfinite(known), known, -1)
+        features.append(_binned(_METADATA + number, known, (0, *_LENGTHS)))
+        owners.append(np.arange(len(column)))
     return _distinct_rows(np.concatenate(owners), np.concatenate(features), len(column))
 
 
@@ -189,7 +223,7 @@ def train(
     size, place = len(labels), np.full(1 << HASH_BITS, -1, np.int32)
     share = (labels.sum() + 0.5) / (size + 1)
     bias = float(np.log(share / (1 - share)))
-    # The driver holds the features of all rows, four bytes each, a few times.
+    # The task holds the features of all rows, four bytes each, a few times.
     seen = np.zeros(1 << HASH_BITS, np.int32)
     for low in range(0, len(features), 1 << 20):
         np.add.at(seen, features[low : low + (1 << 20)], 1)
@@ -248,60 +282,150 @@ def train(
     return machine
 
 
-def _featured(batches: Iterator[pa.RecordBatch], structure: bool) -> Iterator[pa.RecordBatch]:
-    for batch in pieces(batches, text="text"):
-        features, first = text_features(batch.column("text"), structure)
+def _columns(batch: pa.RecordBatch, metadata: tuple[str, ...]) -> list[pa.Array]:
+    return [batch.column(name) for name in metadata]
+
+
+def _featured(
+    batches: Iterator[pa.RecordBatch], structure: bool, metadata: tuple[str, ...]
+) -> Iterator[pa.RecordBatch]:
+    for batch in pieces(batches, text="_text"):
+        given = _columns(batch, metadata)
+        features, first = text_features(batch.column("_text"), structure, given)
         features = features.astype(np.uint32)
         rows = [features[a:b].tobytes() for a, b in zip(first[:-1], first[1:], strict=True)]
         yield pa.record_batch(
-            {"label": batch.column("label"), "features": pa.array(rows, pa.binary())}
+            {
+                "doc_id": batch.column("doc_id"),
+                "label": batch.column("_label"),
+                "size": pa.array(np.diff(first), pa.int64()),
+                "features": pa.array(rows, pa.binary()),
+            }
         )
 
 
-def fit(
-    docs: DataFrame, labels: DataFrame, *, structure: bool, sample: int = SAMPLE
-) -> Machine:
-    """A machine fitted to ``docs`` (doc_id, text) by ``labels`` (doc_id, label).
-
-    At most ``sample`` labelled documents are used. Null labels and ids are left
-    out; of several labels of a doc_id the largest counts.
+def _trained(batches: Iterator[pa.RecordBatch], structure: bool) -> Iterator[pa.RecordBatch]:
+    rows = []
+    for batch in batches:
+        columns = (batch.column(name).to_pylist() for name in ("label", "features"))
+        rows += zip(*columns, strict=True)
+    # In an order that does not depend on how the rows arrived.
+    rows.sort()
+    labels = np.array([label for label, _ in rows], np.float64)
+    first = np.cumsum([0, *(len(features) // 4 for _, features in rows)])
+    features = np.frombuffer(b"".join(features for _, features in rows), np.uint32)
+    del rows
+    machine = train(features, first, labels, structure=structure)
+    yield pa.RecordBatch.from_pylist([machine.packed()])
+
+
+def labelled_sample(
+    docs: DataFrame,
+    labels: DataFrame,
+    *,
+    structure: bool,
+    metadata: tuple[str, ...] = (),
+    sample: int = SAMPLE,
+    cells: int = CELLS,
+) -> DataFrame:
+    """(doc_id, label, size, features) of the documents to learn from, one row per
+    doc_id: at most ``sample`` of them, with at most ``cells`` features together.
+
+    Null labels and ids are left out; of several labels of a doc_id the largest
+    counts, of several texts that of the smallest hash. A document with more than
+    a sixteenth of ``cells`` is not learned from.
     """
     known = (
         labels.where("label is not null and doc_id is not null")
         .groupBy("doc_id")
-        .agg(F.max("label").cast("int").alias("label"))
+        .agg(F.max("label").cast("int").alias("_label"))
+    )
+    # Only about twice as many as are needed are sorted.
+    share = min(1.0, (2 * sample + 1000) / max(known.count(), 1))
+    chance = F.pmod(F.xxhash64(F.lit("sample"), F.col("doc_id")), F.lit(1 << 20))
+    known = (
+        known.where(chance < int(share * (1 << 20)) + 1)
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(sample)
     )
     # At most ``sample`` rows of two numbers.
-    chosen = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")
+    given = [f"_given{number}" for number in range(len(metadata))]
+    values = [F.col(name).alias(own) for name, own in zip(metadata, given, strict=True)]
+    one = F.struct(F.xxhash64("_text"), "_text", *given)
     rows = (
-        chosen.select("label", "text")
-        .mapInArrow(partial(_featured, structure=structure), "label int, features binary")
-        .toPandas()
+        docs.select("doc_id", F.col("text").alias("_text"), *values)
+        .join(F.broadcast(known), "doc_id")
+        .groupBy("doc_id")
+        .agg(F.min(one).alias("_one"), F.first("_label").alias("_label"))
+        .select("doc_id", "_label", "_one._text", *[f"_one.{name}" for name in given])
+    )
+    featured = stage(
+        rows.mapInArrow(
+            partial(_featured, structure=structure, metadata=tuple(given)),
+            "doc_id long, label int, size long, features binary",
+        ),
+        "labelled",
+    )
+    # One row of two numbers per document of the sample, in one task.
+    order = Window.orderBy(F.xxhash64("doc_id"), "doc_id")
+    fitting = featured.where(F.col("size") <= cells // 16).select(
+        "doc_id", F.sum("size").over(order).alias("_total")
+    )
+    return featured.join(
+        F.broadcast(fitting.where(F.col("_total") <= cells).select("doc_id")), "doc_id", "left_semi"
+    )
+
+
+def fit(
+    docs: DataFrame,
+    labels: DataFrame,
+    *,
+    structure: bool,
+    metadata: tuple[str, ...] = (),
+    sample: int = SAMPLE,
+    cells: int = CELLS,
+) -> Machine:
+    """A machine fitted to ``docs`` (doc_id long, text, metadata) by ``labels``
+    (doc_id, label), of which ``labelled_sample`` tells the bounds.
+
+    It is fitted in one task; the driver gets the machine alone, of at most
+    ``FEATURES`` rows.
+    """
+    chosen = labelled_sample(
+        docs, labels, structure=structure, metadata=metadata, sample=sample, cells=cells
+    )
+    packed = (
+        chosen.select("label", "features")
+        .repartition(1)
+        .mapInArrow(
+            partial(_trained, structure=structure or bool(metadata)),
+            "bias double, chosen binary, whole binary, weights binary, factors binary",
+        )
+        .first()
     )
-    rows = rows.sort_values(["label", "features"], kind="stable")
-    given = rows["label"].to_numpy(np.float64)
-    arrays = [np.frombuffer(one, np.uint32) for one in rows["features"]]
-    first = np.cumsum([0, *(len(one) for one in arrays)])
-    features = np.concatenate([*arrays, np.empty(0, np.uint32)])
-    del rows, arrays
-    return train(features, first, given, structure=structure)
+    if packed is None:
+        none = np.empty(0, np.uint32)
+        return train(none, np.zeros(1, np.int64), np.empty(0), structure=structure)
+    return Machine.unpack(packed.asDict())
 
 
-def score(docs: DataFrame, machine: Machine, *, structure: bool) -> DataFrame:
+def score(
+    docs: DataFrame, machine: Machine, *, structure: bool, metadata: tuple[str, ...] = ()
+) -> DataFrame:
     """(doc, score), one row per row of ``docs``; ``doc`` is the whole row.
 
-    A null or empty text has no words and gets the score of that.
+    A null or empty text has no words and gets the score of that; a null in a
+    metadata column counts as a value of its own.
     """
-    # Of bounded size: 2**HASH_BITS places and FEATURES rows.
-    shared = docs.sparkSession.sparkContext.broadcast(vars(machine))
+    # Of bounded size: FEATURES rows of a few numbers.
+    shared = docs.sparkSession.sparkContext.broadcast(machine.packed())
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = Machine(**shared.value)
+        model = Machine.unpack(shared.value)
         for batch in batches:
             for part in pieces([batch.append_column("_t", batch.column("doc").field("text"))], text="_t"):
-                features, first = text_features(part.column("_t"), structure)
+                given = [part.column("doc").field(name) for name in metadata]
+                features, first = text_features(part.column("_t"), structure, given)
                 values = model.scores(features.astype(np.int64), first)
                 yield pa.record_batch({"doc": part.column("doc"), "score": pa.array(values)})
 

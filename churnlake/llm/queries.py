@@ -52,13 +52,19 @@ def _held_out(folds: int, out: int) -> Column:
 
 
 def _classified(
-    spark: SparkSession, sf_dir: str, label: str, folds: int, out: int, structure: bool
+    spark: SparkSession,
+    sf_dir: str,
+    label: str,
+    folds: int,
+    out: int,
+    structure: bool,
+    metadata: tuple[str, ...] = (),
 ) -> DataFrame:
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
     learned = labels.where(~_held_out(folds, out)).select("doc_id", F.col(label).alias("label"))
-    machine = fit(docs, learned, structure=structure)
+    machine = fit(docs, learned, structure=structure, metadata=metadata)
     return (
-        score(docs, machine, structure=structure)
+        score(docs, machine, structure=structure, metadata=metadata)
         .select("doc.doc_id", "score")
         .select(
             "doc_id",
@@ -70,7 +76,7 @@ def _classified(
 
 
 def op4_quality_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _classified(spark, sf_dir, "quality", 5, 0, structure=True)
+    return _classified(spark, sf_dir, "quality", 5, 0, True, metadata=("n_chars",))
 
 
 def op5_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,7 +108,7 @@ def op8_section_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_toxicity_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _classified(spark, sf_dir, "toxic", 4, 2, structure=False)
+    return _classified(spark, sf_dir, "toxic", 4, 2, False)
 
 
 def op10_viterbi_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
