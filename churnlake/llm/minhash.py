@@ -4,8 +4,9 @@ A document's distinct word shingles are hashed once. The top bits of a hash
 choose one of 128 buckets; a bucket keeps its smallest value, compressed to the
 number of leading zeros (6 bits) and the next 10 bits, the mantissa. Four
 neighbouring registers make a band; documents that agree in a band are
-candidates. A candidate pair is confirmed on the full sets if its estimate,
-corrected for registers that are equal by chance, comes near the threshold.
+candidates. A candidate pair whose estimate, corrected for registers that are
+equal by chance, comes near the threshold is confirmed on the full sets, whose
+shingles are told apart by the bytes of their words.
 
 Nothing is done for all pairs of a group:
 
@@ -149,13 +150,13 @@ def _confirmed(
     batches: Iterator[pa.RecordBatch], length: int, percent: int
 ) -> Iterator[pa.RecordBatch]:
     for batch in pieces(batches, 256, text="t_b"):
-        sides = []
-        for name in ("t_a", "t_b"):
-            # A leader's text comes many times in a row; its set is made once.
-            texts = batch.column(name).dictionary_encode()
-            sets = find_words(texts.dictionary, lower=True).shingles(length)
-            sides.append([sets[at] for at in texts.indices.to_pylist()])
-        keep = [_reaches(x, y, percent) for x, y in zip(*sides, strict=True)]
+        # A leader's text comes many times in a row; its set is made once. The
+        # words of both sides are numbered together, by their bytes.
+        both = pa.concat_arrays([batch.column("t_a"), batch.column("t_b")]).dictionary_encode()
+        sets = find_words(both.dictionary, lower=True).numbered_shingles(length)
+        at = both.indices.to_pylist()
+        pairs = zip(at[: batch.num_rows], at[batch.num_rows :], strict=True)
+        keep = [_reaches(sets[x], sets[y], percent) for x, y in pairs]
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
@@ -245,7 +246,7 @@ def _confirmed_bundle(
     names, sets = texts.column("id").to_pylist(), {}
     column = texts.column("text").combine_chunks()
     column = column if isinstance(column, pa.Array) else pa.concat_arrays(column.chunks)
-    found = find_words(column, lower=True).shingles(length)
+    found = find_words(column, lower=True).numbered_shingles(length)
     for name, one in zip(names, found, strict=True):
         sets.setdefault(name, []).append(one)
     kept = [

@@ -2,7 +2,7 @@
 
 A text is a space followed by its characters; a space and what follows it up to
 the next space is a unit, and no piece reaches over a unit's end. The distinct
-units of a batch are encoded once. Units of equal length advance together:
+units of a batch, told apart by their bytes, are encoded once. Units of equal length advance together:
 at each character the hashes of the substrings that end there probe the sorted
 keys of the pieces, the best sum of scores is the maximum over them, and its
 length is the backpointer. A character that is no piece costs 10 more than the
@@ -23,7 +23,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnlake.llm.words import byte_codes, mix, pieces, powers
+from churnlake.llm.words import byte_codes, mix, number_ranges, pieces, powers
 
 # Where each executor finds the model; a parameter of the operator.
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -199,10 +199,8 @@ def encode(texts: list[bytes], known: Pieces) -> tuple[np.ndarray, np.ndarray]:
     starts, ends = _split(data, bounds)
     if not len(starts):
         return np.empty(0, np.int32), np.zeros(len(bounds), np.int64)
-    power, inverse = powers(len(data))
-    sums = np.append(np.uint64(0), np.cumsum(byte_codes()[data] * power[: len(data)]))
-    hashes = (sums[ends] - sums[starts]) * inverse[starts]
-    _, sample, same = np.unique(hashes, return_index=True, return_inverse=True)
+    same, _ = number_ranges(data, starts, ends)
+    _, sample = np.unique(same, return_index=True)
     ids, first = _encode_units(data, starts[sample], ends[sample], known)
     sizes = np.diff(first)[same]
     whole = ids[ragged(first[:-1][same], sizes)]

@@ -122,8 +122,10 @@ def _contexts(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Rec
         )
 
 
-def _grid(table: pa.Table, window: int) -> np.ndarray:
-    """Word hashes of each context, aligned at the suffix start; 0 is no word."""
+def _grid(table: pa.Table, window: int, numbered: bool = False) -> np.ndarray:
+    """Words of each context, aligned at the suffix start; 0 is no word.
+
+    Words are hashes, or ``numbered`` by their bytes within the table."""
     offsets = _offsets(window)
     context = table.column("context").combine_chunks()
     if isinstance(context, pa.ChunkedArray):
@@ -132,7 +134,8 @@ def _grid(table: pa.Table, window: int) -> np.ndarray:
     grid = np.zeros((table.num_rows, offsets - 1 + window), np.uint64)
     rows = words.rows()
     shift = offsets - 1 - table.column("before").to_numpy().astype(np.int64) - words.first[:-1]
-    grid[rows, np.arange(len(rows)) + shift[rows]] = words.hashes | np.uint64(1)
+    values = words.ids.astype(np.uint64) + np.uint64(1) if numbered else words.hashes | np.uint64(1)
+    grid[rows, np.arange(len(rows)) + shift[rows]] = values
     return grid
 
 
@@ -162,11 +165,14 @@ def _tree_windows(groups: np.ndarray, grid: np.ndarray, docs: np.ndarray, window
         shared[1:] = np.where(group[1:] == group[:-1], depth, -1)
     found = np.zeros((len(docs), offsets), bool)
     before, present = np.zeros(len(docs), np.uint64), np.ones(len(docs), bool)
+    base = grid.max(initial=0) + np.uint64(1)
     node = np.empty(len(docs), np.int64)
     for offset in range(offsets):
         if offset:
             word = grid[:, offsets - 1 - offset]
-            before, present = mix(before + word), present & (word != 0)
+            # Numbers of the words before, equal only if all of them are.
+            _, before = np.unique(before * base + word, return_inverse=True)
+            before, present = before.astype(np.uint64), present & (word != 0)
         depth = window - offset
         node[order] = np.cumsum(shared < depth)
         valid = present & (right[:, depth - 1] != 0)
@@ -211,7 +217,7 @@ def _trees(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Record
     def solve(table: pa.Table) -> list[pa.RecordBatch]:
         _, groups = np.unique(table.column("prefix").to_numpy(), return_inverse=True)
         docs = table.column("doc_id").to_numpy()
-        found = _tree_windows(groups, _grid(table, window), docs, window)
+        found = _tree_windows(groups, _grid(table, window, numbered=True), docs, window)
         return _spans(table, found, window).to_batches()
 
     waiting: list[pa.RecordBatch] = []

@@ -1,9 +1,13 @@
 """Words and word hashes of a batch of texts, computed on its UTF-8 bytes.
 
 A word is a run of bytes other than space, tab, line feed, vertical tab, form
-feed and carriage return; a text never shares a word with its neighbour. The
-hash of a byte range is a polynomial over random codes of its bytes, read off
-running sums, so that a batch takes a few passes over its bytes.
+feed and carriage return; a text never shares a word with its neighbour. Equal
+words are found by their bytes and get one number per call; their hash is made of
+the bytes of each distinct word.
+
+The rolling hash of a byte range is a polynomial over random codes of its bytes,
+read off running sums. Long words of equal rolling hash are easy to construct, so
+it only serves features and the lookup of short pieces.
 """
 
 from __future__ import annotations
@@ -13,6 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -68,14 +73,17 @@ class Words:
 
     ``starts`` and ``ends`` are byte positions within the word's own text,
     ``hashes`` the words' hashes, ``first`` the number of the first word of each
-    text, followed by the number of words. ``heads`` has the hashes of the words'
-    first bytes, by their number; a shorter word's head is the whole word.
+    text, followed by the number of words. ``ids`` numbers the distinct words of
+    the run: two words have the same bytes exactly if they have the same id.
+    ``heads`` has the rolling hashes of the words' first bytes, by their number; a
+    shorter word's head is the whole word.
     """
 
     starts: np.ndarray
     ends: np.ndarray
     hashes: np.ndarray
     first: np.ndarray
+    ids: np.ndarray
     heads: dict[int, np.ndarray]
 
     def rows(self) -> np.ndarray:
@@ -90,6 +98,27 @@ class Words:
             total[: len(hashes) - at] += hashes[at:]
         return mix(total)
 
+    def numbered_shingles(self, length: int) -> list[np.ndarray]:
+        """Sorted distinct numbers of each text's ``length``-word shingles.
+
+        Two shingles of the run have one number exactly if their words are equal.
+        """
+        base = int(self.ids.max(initial=0)) + 1
+        code = self.ids.astype(np.int64)
+        for at in range(1, length):
+            code[: len(code) - at] = code[: len(code) - at] * base + self.ids[at:]
+            code = np.unique(code, return_inverse=True)[1]
+        found, short = [], {}
+        for low, high in zip(self.first[:-1], self.first[1:], strict=True):
+            if high - low >= length:
+                found.append(distinct(code[low : high - length + 1]))
+            elif high > low:
+                number = short.setdefault(tuple(self.ids[low:high].tolist()), -1 - len(short))
+                found.append(np.array([number]))
+            else:
+                found.append(code[:0])
+        return found
+
     def shingles(self, length: int) -> list[np.ndarray]:
         """Sorted distinct hashes of each text's ``length``-word shingles.
 
@@ -114,7 +143,8 @@ def _hash_chunk(
     breaks: np.ndarray,
     heads: tuple[int, ...],
 ) -> list[np.ndarray]:
-    """Starts, ends, hashes and heads of a chunk's words; words end at ``breaks``."""
+    """Starts, ends, rolling hashes and heads of a chunk's words; words end at
+    ``breaks``."""
     inside = ~apart[data]
     before = np.empty_like(inside)
     before[:1], before[1:] = False, inside[:-1]
@@ -132,14 +162,33 @@ def _hash_chunk(
     return [starts, ends, *(mix((sums[at] - sums[starts]) * inverse[starts]) for at in stops)]
 
 
+def number_ranges(
+    data: np.ndarray, starts: np.ndarray, ends: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """(number of each byte range, hash of each number); equal bytes, equal number."""
+    sizes = ends - starts
+    offsets = np.append(0, np.cumsum(sizes))
+    whole = data[np.repeat(starts - offsets[:-1], sizes) + np.arange(offsets[-1])]
+    buffers = [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(whole)]
+    ranges = pa.Array.from_buffers(pa.large_binary(), len(starts), buffers).dictionary_encode()
+    words = ranges.dictionary.to_pylist()
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+    return ranges.indices.to_numpy().astype(np.int64), hashes
+
+
 def find_words(
     column: pa.Array,
     *,
     lower: bool = False,
     apart: np.ndarray = SPACE,
     heads: tuple[int, ...] = (),
+    rolling: bool = False,
 ) -> Words:
-    """The words of each text of an Arrow column; a null has none."""
+    """The words of each text of an Arrow column; a null has none.
+
+    With ``rolling`` the hashes are rolling ones and words of equal hash share an
+    id, which is cheaper and good enough for features.
+    """
     column = column.cast(pa.binary()).fill_null(b"")
     offsets = np.frombuffer(column.buffers()[1], np.int32)
     offsets = offsets[column.offset : column.offset + len(column) + 1].astype(np.int64)
@@ -168,7 +217,12 @@ def find_words(
     starts, ends, hashes, *rest = (np.concatenate(parts) for parts in zip(*found, strict=True))
     first = np.searchsorted(starts, bounds)
     own = np.repeat(bounds[:-1], np.diff(first))
-    return Words(starts - own, ends - own, hashes, first, dict(zip(heads, rest, strict=True)))
+    if rolling:
+        ids = hashes
+    else:
+        ids, known = number_ranges(fold[data], starts, ends)
+        hashes = known[ids]
+    return Words(starts - own, ends - own, hashes, first, ids, dict(zip(heads, rest, strict=True)))
 
 
 def pieces(
