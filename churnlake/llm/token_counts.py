@@ -10,6 +10,7 @@ counts of the sections add up to the count of the document.
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,6 +28,14 @@ PATTERN = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 )
 
+# Fixed value: the characters that the pattern's \s stands for.
+BLANKS = "\t\n\v\f\r \u0085\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+
+# Longer runs of blanks are encoded apart: the pattern looks ahead after every
+# run and needs a stack as deep as the run is long.
+LONGEST_RUN = 1000
+_LONG_RUN = re.compile(f"[{BLANKS}]{{{LONGEST_RUN},}}")
+
 _SCHEMA = (
     "doc_id long, section int, first_char long, n_chars long, n_tokens long, n_crossing long"
 )
@@ -44,6 +53,21 @@ def load(vocabulary: str) -> tuple[tiktoken.Encoding, np.ndarray]:
     return encoding, sizes
 
 
+def encode(encoding: tiktoken.Encoding, text: str) -> list[int]:
+    """The tokens of a text of any length.
+
+    The pattern takes a run of blanks as one piece, but for its last blank where
+    text follows, which goes with that text; so a cut before that blank leaves
+    every piece as it is.
+    """
+    tokens, start = [], 0
+    for run in _LONG_RUN.finditer(text):
+        tokens += encoding.encode_ordinary(text[start : run.start()])
+        start = run.end() - (run.end() < len(text))
+        tokens += encoding._encode_single_piece(text[run.start() : start])
+    return tokens + encoding.encode_ordinary(text[start:])
+
+
 def attribute(starts: np.ndarray, ends: np.ndarray, bounds: np.ndarray, chars: np.ndarray):
     """(section of each token, whether it crosses): byte spans of the tokens,
     section starts followed by the end, and the characters before each byte."""
@@ -89,7 +113,7 @@ def section_tokens(docs: DataFrame, *, vocabulary: str = VOCABULARY) -> DataFram
         for batch in pieces(batches, text="text"):
             found, lines = [], []
             for text in batch.column("text").to_pylist():
-                tokens = np.array(encoding.encode_ordinary(text or ""), np.int64)
+                tokens = np.array(encode(encoding, text or ""), np.int64)
                 found.append(count_sections((text or "").encode(), tokens, sizes))
                 lines.append(len(found[-1][0]))
             owner = np.repeat(np.arange(batch.num_rows), lines)
