@@ -52,4 +52,57 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM judged JOIN verdicts ON judged.source IS NOT DISTINCT FROM verdicts.source
 """
 
-ORACLES = {"op5_host_rules": OP5}
+OP11 = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang,
+           coalesce(source, '') AS source,
+           regexp_extract_all(
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                         'abcdefghijklmnopqrstuvwxyz'),
+               '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+    FROM documents
+),
+words AS (SELECT doc, lang, source, unnest(terms) AS term FROM docs),
+kept AS (
+    SELECT lang, term, count(*) AS n FROM words
+    GROUP BY lang, term HAVING count(DISTINCT doc) >= 10
+),
+langs AS (SELECT lang, sum(n) AS total, count(*) AS v FROM kept GROUP BY lang),
+cells AS (
+    SELECT lang, source, term, count(*) AS n FROM words JOIN kept USING (lang, term)
+    GROUP BY lang, source, term
+),
+totals AS (SELECT lang, source, sum(n) AS total FROM cells GROUP BY lang, source),
+sources AS (SELECT DISTINCT lang, source FROM docs),
+parts AS (
+    SELECT s.lang, s.source, k.term, coalesce(c.n, 0) AS n,
+           1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 2)) // (coalesce(t.total, 0) + 2 * l.v) AS p,
+           1 + (1000000000::HUGEINT * (k.n + 2)) // (l.total + 2 * l.v) AS q
+    FROM sources s JOIN kept k ON s.lang = k.lang JOIN langs l ON s.lang = l.lang
+    LEFT JOIN totals t ON s.lang = t.lang AND s.source = t.source
+    LEFT JOIN cells c ON s.lang = c.lang AND s.source = c.source AND k.term = c.term
+),
+priced AS (
+    SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+    FROM parts a JOIN parts b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+    GROUP BY a.lang, a.source, b.source
+),
+pairs AS (
+    SELECT a.lang, a.source, b.source AS item, coalesce(value, 0) AS value
+    FROM sources a JOIN sources b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN priced p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+),
+found AS (
+    SELECT lang, source, 'pair' AS part, item, value FROM pairs
+    UNION ALL
+    SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM parts WHERE n > 0 AND p > q
+),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank
+    FROM found
+)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank
+FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
+
+ORACLES = {"op11_source_divergence": OP11, "op5_host_rules": OP5}

@@ -5,14 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from churnlake.llm.count_trees import divergence
 from churnlake.llm.factorization import fit, score
 from churnlake.llm.graph_search import build_index, nearest, usable
 from churnlake.llm.host_rules import judge_documents
 from churnlake.llm.minhash import near_duplicates
 from churnlake.llm.mixing import mix_sources
 from churnlake.llm.oracles import ORACLES as ORACLES
+from churnlake.llm.pair_merges import decode_merges, encode_merges
 from churnlake.llm.sentence_pieces import encode_pieces
 from churnlake.llm.sharding import shard_documents
+from churnlake.llm.spelling_forms import spelling_forms
 from churnlake.llm.substrings import remove_repeats
 from churnlake.llm.token_counts import section_tokens
 
@@ -122,6 +125,35 @@ def op10_viterbi_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence(_table(spark, sf_dir, "documents"))
+
+
+def op12_spelling_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_forms(_table(spark, sf_dir, "documents"))
+
+
+def _little_endian(ids: Column) -> Column:
+    """The ids as 32-bit integers, lowest byte first."""
+    words = F.transform(
+        ids,
+        lambda id_: F.concat(
+            *[F.lpad(F.hex(F.shiftright(id_, shift).bitwiseAND(255)), 2, "0") for shift in (0, 8, 16, 24)]
+        ),
+    )
+    return F.unhex(F.array_join(words, ""))
+
+
+def op13_pair_merges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = encode_merges(_table(spark, sf_dir, "documents")).select("doc.doc_id", "ids")
+    return decode_merges(encoded).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(_little_endian(F.col("ids")), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded"), 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES = {
     "op1_ring_shards": op1_ring_shards,
     "op2_minhash_dedup": op2_minhash_dedup,
@@ -133,4 +165,7 @@ QUERIES = {
     "op8_section_tokens": op8_section_tokens,
     "op9_toxicity_machine": op9_toxicity_machine,
     "op10_viterbi_pieces": op10_viterbi_pieces,
+    "op11_source_divergence": op11_source_divergence,
+    "op12_spelling_forms": op12_spelling_forms,
+    "op13_pair_merges": op13_pair_merges,
 }
