@@ -19,7 +19,7 @@ from __future__ import annotations
 import json
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -397,9 +397,16 @@ def decode(ids: np.ndarray, vocabulary: Vocabulary) -> bytes:
     return vocabulary.data[places][:-1].tobytes()
 
 
-def encode_merges(docs: DataFrame, *, vocabulary: str = VOCABULARY) -> DataFrame:
-    """(doc, ids), one row per row of ``docs`` (text string); ``doc`` is the whole
-    row, so other columns pass whatever their names. ``ids`` is array<int>.
+def encode_merges(
+    docs: DataFrame,
+    *,
+    vocabulary: str = VOCABULARY,
+    keep: Sequence[str] | None = None,
+    packed: bool = False,
+) -> DataFrame:
+    """(doc, ids), one row per row of ``docs`` (text string). ``doc`` is the row, or
+    its columns ``keep``, so other columns pass whatever their names. ``ids`` is
+    array<int>, or with ``packed`` binary, four bytes an id, the lowest first.
 
     No special tokens are added. A null, empty or blank text has no ids; no rows
     give no rows, and equal texts equal ids.
@@ -407,22 +414,24 @@ def encode_merges(docs: DataFrame, *, vocabulary: str = VOCABULARY) -> DataFrame
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(vocabulary)
-        for batch in batches:
-            batch = batch.append_column("_t", batch.column("doc").field("text"))
-            for part in pieces([batch], text="_t"):
-                found = encoder.encode([text or "" for text in part.column("_t").to_pylist()])
+        for batch in pieces(batches, text="_t"):
+            found = encoder.encode([text or "" for text in batch.column("_t").to_pylist()])
+            if packed:
+                ids = pa.array(found, pa.binary())
+            else:
                 first = np.cumsum([0, *(len(ids) // 4 for ids in found)])
                 values = pa.array(np.frombuffer(b"".join(found), np.int32))
                 ids = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), values)
-                yield pa.record_batch({"doc": part.column("doc"), "ids": ids})
+            yield pa.record_batch({"doc": batch.column("doc"), "ids": ids})
 
-    rows = docs.select(F.struct(*docs.columns).alias("doc"))
+    kept = docs.columns if keep is None else keep
+    rows = docs.select(F.struct(*kept).alias("doc"), F.col("text").alias("_t"))
     kind = rows.schema["doc"].dataType.simpleString()
-    return rows.mapInArrow(encoded, f"doc {kind}, ids array<int>")
+    return rows.mapInArrow(encoded, f"doc {kind}, ids {'binary' if packed else 'array<int>'}")
 
 
 def decode_merges(encoded: DataFrame, *, vocabulary: str = VOCABULARY) -> DataFrame:
-    """``encoded`` (ids array<int>) with the text of its ids as ``decoded``.
+    """``encoded`` (ids array<int>, or packed) with the text of its ids as ``decoded``.
 
     Null ids give null, no ids the empty text; special tokens are kept. Other
     columns pass; a column named decoded is an error.
@@ -434,14 +443,13 @@ def decode_merges(encoded: DataFrame, *, vocabulary: str = VOCABULARY) -> DataFr
         known = load(vocabulary)
         for batch in pieces(batches):
             column = batch.column("ids")
-            values = column.values.to_numpy(zero_copy_only=False).astype(np.int64)
-            first = column.offsets.to_numpy()
-            texts = [
-                decode(values[low:high], known) if there else None
-                for low, high, there in zip(
-                    first[:-1], first[1:], column.is_valid().to_pylist(), strict=True
-                )
-            ]
+            if pa.types.is_binary(column.type):
+                rows = [None if ids is None else np.frombuffer(ids, np.int32) for ids in column.to_pylist()]
+            else:
+                values, first = column.values.to_numpy(zero_copy_only=False), column.offsets.to_numpy()
+                ranges = zip(first[:-1], first[1:], column.is_valid().to_pylist(), strict=True)
+                rows = [values[low:high] if there else None for low, high, there in ranges]
+            texts = [None if ids is None else decode(ids.astype(np.int64), known) for ids in rows]
             yield batch.append_column("decoded", pa.array(texts, pa.binary()).cast(pa.string()))
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema)

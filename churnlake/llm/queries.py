@@ -133,24 +133,14 @@ def op12_spelling_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_forms(_table(spark, sf_dir, "documents"))
 
 
-def _little_endian(ids: Column) -> Column:
-    """The ids as 32-bit integers, lowest byte first."""
-    words = F.transform(
-        ids,
-        lambda id_: F.concat(
-            *[F.lpad(F.hex(F.shiftright(id_, shift).bitwiseAND(255)), 2, "0") for shift in (0, 8, 16, 24)]
-        ),
-    )
-    return F.unhex(F.array_join(words, ""))
-
-
 def op13_pair_merges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = encode_merges(_table(spark, sf_dir, "documents")).select("doc.doc_id", "ids")
+    docs = _table(spark, sf_dir, "documents")
+    encoded = encode_merges(docs, keep=("doc_id",), packed=True).select("doc.doc_id", "ids")
     return decode_merges(encoded).select(
         "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(_little_endian(F.col("ids")), 256).alias("ids_sha256"),
-        F.sha2(F.col("decoded"), 256).alias("decoded_sha256"),
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
     )
 
 
