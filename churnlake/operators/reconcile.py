@@ -12,6 +12,12 @@ class ReconciliationError(RuntimeError):
     """Source rows are neither clean nor rejected."""
 
 
+RECONCILED = (
+    "dataset string, source_rows long, clean_rows long, rejected_rows long,"
+    " unaccounted_rows long, rejection_rate double"
+)
+
+
 def rejection_report(rejected: DataFrame) -> DataFrame:
     """Rejected rows per reason, most frequent first."""
     return (

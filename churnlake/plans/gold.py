@@ -12,9 +12,9 @@ from churnlake.functions import guarded_ratio, month, month_of, resolve_column
 from churnlake.layout import Layout
 from churnlake.operators.keys import dense_key
 from churnlake.operators.quality import quality_report, require_passed
+from churnlake.publish import Commit, step
 from churnlake.scratch import stage
 from churnlake.sources.readers import require_absent, require_inputs
-from churnlake.sources.writers import write_dataset, write_report
 
 # The validity period written to the dimension.
 VALID_FROM = "2026-09-03"
@@ -341,30 +341,51 @@ def read_gold(spark: SparkSession, layout: Layout) -> Gold:
     return Gold(*[spark.read.parquet(layout.gold(table)) for table in TABLES])
 
 
+def stored_rollup(spark: SparkSession, layout: Layout) -> Commit:
+    """The activity rollup of the current silver tables; a step of its own."""
+    paths = [layout.silver(source) for source in ("usage", "customer_support_tickets", "offers")]
+
+    def build() -> dict[str, DataFrame]:
+        return {"rollup": activity_rollup(*[spark.read.parquet(path) for path in paths])}
+
+    return step(spark, layout.rollup_set, "; ".join(paths), build)[0]
+
+
 def run_gold(
     spark: SparkSession,
     layout: Layout,
     valid_from: str = VALID_FROM,
     replace: bool = False,
 ) -> DataFrame:
-    """Build, check and store the gold tables; returns the quality report.
+    """Build, check and publish the gold tables; returns the quality report.
 
-    The checks run on staged tables, so a failed one leaves the stored tables as
-    they were. Existing gold tables are only replaced when ``replace`` is set.
+    The three tables are checked as they are written and published as one set, so
+    a failed check or run leaves the set before. It is only replaced when
+    ``replace`` is set, and left alone if it was made of the same silver tables.
     """
     sources = ("customers", "customer_support_tickets", "offers", "usage")
-    paths = [layout.silver(source) for source in sources]
-    require_inputs(spark, paths)
+    require_inputs(spark, [layout.silver(source) for source in sources])
     if not replace:
         require_absent(spark, [layout.gold(table) for table in TABLES])
-    built = build_gold(*[spark.read.parquet(path) for path in paths], valid_from=valid_from)
-    gold = Gold(stage(built.dim, "dim"), stage(built.fact, "fact"), stage(built.mart, "mart"))
-    report = quality_report(gold.dim, gold.fact, gold.mart)
-    report.show(100, truncate=False)
-    require_passed(report)
-    write_dataset(gold.dim, layout.gold("dim_customer"), replace)
-    write_dataset(gold.fact, layout.gold("fact_customer_activity"), replace)
-    write_report(gold.mart, layout.gold("monthly_churn_rate"), replace)
-    stored = read_gold(spark, layout)
+    rollup = stored_rollup(spark, layout)
+    customers = layout.silver("customers")
+
+    def build() -> dict[str, DataFrame]:
+        activity = rollup.read(spark, "rollup")
+        dim = stage(build_dim(spark.read.parquet(customers), activity, valid_from), "dim")
+        keyed = stage(build_keyed_fact(activity, dim), "keyed-fact")
+        return dict(zip(TABLES, (dim, keyed.drop("is_churned"), build_mart(keyed)), strict=True))
+
+    def check(stored: dict[str, DataFrame]) -> list[dict]:
+        report = quality_report(*[stored[table] for table in TABLES])
+        report.show(100, truncate=False)
+        require_passed(report)
+        return [row.asDict() for row in report.collect()]
+
+    inputs = f"{customers}; {rollup.tables['rollup']}; {valid_from}"
+    commit, _ = step(
+        spark, layout.gold_set, inputs, build, check=check, one_file=("monthly_churn_rate",)
+    )
+    stored = Gold(*[commit.read(spark, table) for table in TABLES])
     row_counts(stored).show(truncate=False)
     return quality_report(stored.dim, stored.fact, stored.mart)

@@ -16,15 +16,17 @@ from churnlake.operators.dedupe import (
 )
 from churnlake.operators.keys import flag_known_keys, key_reference
 from churnlake.operators.reconcile import (
+    RECONCILED,
     reconcile,
     rejection_report,
     require_reconciled,
 )
 from churnlake.operators.rules import REASON, judge
+from churnlake.publish import current, files_fingerprint, step
 from churnlake.scratch import stage
-from churnlake.sources.readers import SOURCE_ID, read_bronze
+from churnlake.sources.arrival import SOURCE_ID, number_arrivals
+from churnlake.sources.readers import read_bronze
 from churnlake.sources.specs import CUSTOMERS, KNOWN_CUSTOMER, SOURCES, SourceSpec
-from churnlake.sources.writers import write_dataset
 
 
 @dataclass(frozen=True)
@@ -104,22 +106,44 @@ def run_source(
     layout: Layout,
     as_of: Column,
     multi_line: bool = True,
-) -> DataFrame:
-    """Clean one bronze source into the lake and return its reconciliation."""
-    raw = read_bronze(spark, spec, layout.bronze(spec.name), multi_line)
-    standardized = stage(standardize(raw, spec), f"{spec.name}-standardized")
-    customer_ids = None
+) -> tuple[DataFrame, bool]:
+    """Clean one bronze source into the lake; its reconciliation, and whether it
+    was done now.
+
+    Clean and rejected rows are published together, after they reconcile. If the
+    source's files, the date and the customers it is checked against are those of
+    the set that is there, nothing is done.
+    """
+    customers = None
     if spec.foreign_key is not None:
-        customer_ids = spark.read.parquet(layout.customer_ids)
-    silver = clean_source(standardized, spec, as_of, customer_ids)
-    clean = write_dataset(silver.clean, layout.silver(spec.name))
-    rejected = write_dataset(silver.rejected, layout.rejected(spec.name), rebalance=True)
-    if spec is CUSTOMERS:
-        write_dataset(key_reference(clean, spec.key), layout.customer_ids)
-    report = reconcile(spec.name, standardized, clean, rejected)
-    require_reconciled(report)
-    rejection_report(rejected).show(truncate=False)
-    return report
+        customers = current(spark, layout.silver_set(CUSTOMERS.name))
+        if customers is None:
+            raise FileNotFoundError("no clean customers to check against")
+    day = spark.range(1).select(as_of.cast("string")).first()[0]
+    known = customers.tables["customer_ids"] if customers else ""
+    files = files_fingerprint(spark, layout.bronze(spec.name))
+    inputs = f"{files}; as of {day}; json arrays {multi_line}; {known}"
+
+    def build() -> dict[str, DataFrame]:
+        raw = read_bronze(spark, spec, layout.bronze(spec.name), multi_line)
+        standardized = number_arrivals(stage(standardize(raw, spec), f"{spec.name}-standardized"))
+        ids = customers.read(spark, "customer_ids") if customers else None
+        silver = clean_source(standardized, spec, as_of, ids)
+        tables = {"clean": silver.clean, "rejected": silver.rejected}
+        if spec is CUSTOMERS:
+            tables["customer_ids"] = key_reference(silver.clean, spec.key)
+        build.source = standardized
+        return tables
+
+    def check(stored: dict[str, DataFrame]) -> list[dict]:
+        report = reconcile(spec.name, build.source, stored["clean"], stored["rejected"])
+        require_reconciled(report)
+        return [row.asDict() for row in report.collect()]
+
+    commit, done = step(
+        spark, layout.silver_set(spec.name), inputs, build, check=check, rebalance=("rejected",)
+    )
+    return spark.createDataFrame(commit.report, RECONCILED), done
 
 
 def run_silver(
@@ -128,7 +152,8 @@ def run_silver(
     as_of: Column | None = None,
     multi_line: bool = True,
 ) -> dict[str, str]:
-    """Clean all sources and return a status per source.
+    """Clean all sources and return a status per source; those that are up to date
+    are left as they are.
 
     Without clean customers nothing else can be checked, so a failure there
     ends the run; any other failure leaves the remaining sources to go on.
@@ -140,7 +165,11 @@ def run_silver(
     status: dict[str, str] = {}
     for spec in SOURCES:
         try:
-            run_source(spark, spec, layout, as_of, multi_line).show(truncate=False)
+            report, done = run_source(spark, spec, layout, as_of, multi_line)
+            report.show(truncate=False)
+            if done:
+                rejected = spark.read.parquet(layout.rejected(spec.name))
+                rejection_report(rejected).show(truncate=False)
             status[spec.name] = "SUCCESS"
         except Exception as error:
             status[spec.name] = f"FAILED: {error}"

@@ -18,11 +18,18 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder all machines of the session reach.
 
     That is the folder in ``spark.checkpoint.dir``, or else the one set on the
-    context, or else the session's warehouse.
+    context, or else the session's warehouse. On a cluster a warehouse in the files
+    of one machine is refused: the others would not see what it holds.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     configured = configured or spark.sparkContext.getCheckpointDir()
-    return (configured or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
+    if configured:
+        return configured.rstrip("/")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    one_machine = spark.sparkContext.master.split("[")[0] == "local"
+    if not one_machine and warehouse.startswith("file:"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all machines reach")
+    return warehouse.rstrip("/")
 
 
 def application_dir(spark: SparkSession) -> str:

@@ -8,10 +8,10 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from churnlake.sources.arrival import SOURCE_ID, file_arrival
+from churnlake.sources.json_array import read_json_array
 from churnlake.sources.specs import SourceSpec
 
-SOURCE_ID = "_source_id"
-
 
 def string_schema(columns: Sequence[str]) -> str:
     return ", ".join(f"`{name}` string" for name in columns)
@@ -35,8 +35,8 @@ def read_json(
     """JSON objects with the named fields; a missing field is NULL, others are
     ignored.
 
-    A file that holds one JSON array can only be read by one task. Use JSON
-    Lines (``multi_line=False``) for files larger than a task's memory.
+    With ``multi_line`` a file is read by one task; ``read_json_array`` reads a
+    file that holds one array with many.
     """
     reader = spark.read.schema(string_schema(columns)).option("multiLine", multi_line)
     return reader.json(path)
@@ -45,11 +45,14 @@ def read_json(
 def read_bronze(
     spark: SparkSession, spec: SourceSpec, path: str, multi_line: bool = True
 ) -> DataFrame:
+    """The raw rows of a source with their arrival, which ``number_arrivals`` makes
+    a number once they are stored. JSON files hold one array each, or one object
+    a line (``multi_line=False``)."""
+    if spec.file_format == "json" and multi_line:
+        return read_json_array(spark, path, spec.columns)
     if spec.file_format == "json":
-        raw = read_json(spark, path, spec.columns, multi_line)
-    else:
-        raw = read_csv(spark, path, spec.columns, spec.header)
-    return with_source_id(raw)
+        return with_source_id(read_json(spark, path, spec.columns, multi_line))
+    return with_source_id(read_csv(spark, path, spec.columns, spec.header))
 
 
 def fit_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -63,9 +66,8 @@ def fit_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def with_source_id(df: DataFrame) -> DataFrame:
-    """Number the rows in the order they are read. The number follows the file
-    splits, so store the rows before anything depends on it."""
-    return df.withColumn(SOURCE_ID, F.monotonically_increasing_id())
+    """Add the arrival of each row of a file scan."""
+    return df.select("*", file_arrival().alias(SOURCE_ID))
 
 
 def read_table(

@@ -6,13 +6,15 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from churnlake.layout import Layout
 from churnlake.operators.keys import key_reference
 from churnlake.plans.features import LABEL, customer_features, stratified_split
-from churnlake.plans.gold import Gold, activity_rollup, build_dim, build_facts
+from churnlake.plans.gold import Gold, activity_rollup, build_dim, build_facts, run_gold
 from churnlake.plans.model import importances, load_model, save_model, select_features
-from churnlake.plans.silver import Silver, clean_source, standardize
+from churnlake.plans.silver import Silver, clean_source, run_silver, standardize
 from churnlake.scratch import new_dir, stage
 from churnlake.sources.specs import CUSTOMERS, OFFERS, TICKETS, USAGE, SourceSpec
+from churnlake.workload.dropped import write_bronze
 from churnlake.workload.raw import RAW, as_of
 
 # Trees of the model whose label one feature decides.
@@ -92,6 +94,23 @@ def gold_tables(spark: SparkSession, sf_dir: str) -> Gold:
     return _once(spark, sf_dir, "gold", build)
 
 
+def job_lake(spark: SparkSession, sf_dir: str) -> Layout:
+    """A lake that the jobs built from raw files, each in a run of its own; a second
+    run of the silver job finds nothing to do."""
+
+    def build() -> Layout:
+        layout = write_bronze(spark, sf_dir)
+        for _ in range(2):
+            status = run_silver(spark, layout, as_of())
+            failed = {name: outcome for name, outcome in status.items() if outcome != "SUCCESS"}
+            if failed:
+                raise RuntimeError(f"the silver job failed: {failed}")
+        run_gold(spark, layout)
+        return layout
+
+    return _once(spark, sf_dir, "job-lake", build)
+
+
 def split_features(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Training and test customers."""
 

@@ -653,6 +653,8 @@ def _fingerprint() -> str:
     )
 
 
+_CHURNED_FACT = "(SELECT * FROM fact WHERE customer_id IN (SELECT customer_id FROM dim WHERE is_churned = 1))"
+
 FINAL: dict[str, str] = {
     "bronze_csv_scan": f"SELECT {', '.join(COLUMNS['customers'])} FROM raw_customers",
     # An empty CSV cell is read as NULL.
@@ -664,7 +666,18 @@ FINAL: dict[str, str] = {
         "SELECT * REPLACE (CAST(NULL AS VARCHAR) AS num_products) FROM "
         f"(SELECT {', '.join(COLUMNS['usage'])} FROM raw_usage)"
     ),
+    "bronze_json_array_scan": (
+        "SELECT *, CAST(NULL AS VARCHAR) AS num_products, "
+        "'\"}, {[\\\" \\\\ ]}' || chr(10) || '}' || usage_log_id AS note, "
+        "'{\"of\":{' || coalesce('\"customer_id\":\"' || customer_id || '\"', '') || '},\"n\":1}' AS inner "
+        f"FROM (SELECT {', '.join(COLUMNS['usage'][:-1])} FROM raw_usage)"
+    ),
+    "bronze_arrival_ids": (
+        "SELECT RowNumber, CustomerId, "
+        "row_number() OVER (ORDER BY (sid // 4) % 7 DESC, sid) AS arrival_id FROM raw_customers"
+    ),
     "stream_landing": "SELECT * FROM events",
+    "stream_landing_replace": "SELECT * FROM events",
     "std_text": (
         f"SELECT sid AS row_id, {text('Surname')} AS surname, {title('Geography')} AS geography, "
         f"{lower('Gender')} AS gender FROM raw_customers"
@@ -778,6 +791,18 @@ FINAL: dict[str, str] = {
         "SELECT 'fact_customer_activity', count(*) FROM fact UNION ALL "
         "SELECT 'monthly_churn_rate', count(*) FROM mart"
     ),
+    "gold_published": " UNION ALL ".join(
+        f"SELECT '{when}' AS seen, '{name}' AS table_name, count(*) AS row_count FROM {rows}"
+        for when, only in (("first", True), ("failed", True), ("second", False))
+        for name, rows in (
+            ("dim_customer", "dim" + " WHERE is_churned = 1" * only),
+            ("fact_customer_activity", _CHURNED_FACT if only else "fact"),
+            (
+                "monthly_churn_rate",
+                f"(SELECT DISTINCT activity_month FROM {_CHURNED_FACT})" if only else "mart",
+            ),
+        )
+    ),
     "gold_tables_register": (
         "SELECT activity_month, count(*) AS fact_rows, "
         f"{big('sum(is_churned)')} AS churned_rows, count(*) AS active_customers "
@@ -956,4 +981,14 @@ FROM (
     "ml_separable_first": "SELECT 'num_products' AS feature, true AS kept",
 }
 
+FINAL["job_silver"] = " UNION ALL ".join(
+    f"SELECT '{dataset}' AS dataset, {varchar(KEYS[name])} AS business_key, rejection_reason "
+    f"FROM silver_{name}"
+    for name, dataset in _DATASETS.items()
+)
+# The jobs build from raw files what the plans build from the tables.
+FINAL["job_gold_dim"] = FINAL["gold_dim_customer"]
+FINAL["job_gold_fact"] = FINAL["gold_fact_activity"]
+FINAL["job_gold_mart"] = FINAL["gold_monthly_churn"]
+
 ORACLES: dict[str, str] = {name: with_chain(sql) for name, sql in FINAL.items()}

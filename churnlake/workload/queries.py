@@ -28,11 +28,21 @@ from churnlake.operators import reconcile as accounting
 from churnlake.operators.rules import REASON
 from churnlake.plans import bi, features, gold, model
 from churnlake.plans.silver import judged_rows
-from churnlake.scratch import new_dir
-from churnlake.sources.readers import SOURCE_ID, import_table, read_csv, read_json
+from churnlake.publish import current, publish
+from churnlake.scratch import new_dir, stage
+from churnlake.sources.arrival import number_arrivals
+from churnlake.sources.json_array import read_json_array
+from churnlake.sources.readers import (
+    SOURCE_ID,
+    import_table,
+    read_csv,
+    read_json,
+    with_source_id,
+)
 from churnlake.sources.specs import CUSTOMERS, KNOWN_CUSTOMER, OFFERS, TICKETS, USAGE, SourceSpec
 from churnlake.streaming import landing
 from churnlake.workload import defects, lake
+from churnlake.workload.dropped import drop_file, small_splits, write_array, write_late_first
 from churnlake.workload.raw import RAW, as_of, line_counts, raw_text, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -89,12 +99,76 @@ def bronze_json_scan(spark, sf_dir):
     return read_json(spark, path, USAGE.columns, multi_line=False)
 
 
+# Text that a reader must not take for structure.
+AWKWARD = '"}, {[\\" \\\\ ]}\n}'
+
+
+@query
+def bronze_json_array_scan(spark, sf_dir):
+    """Usage as one file of one array, cut into many blocks; a note holds brackets,
+    quotes, escapes and a line feed, and an inner object its customer again."""
+    path = new_dir(spark, "bronze-array")
+    raw = RAW["usage"](spark, sf_dir)
+    note = F.concat(F.lit(AWKWARD), F.col("usage_log_id"))
+    written = raw.withColumns(
+        {"note": note, "inner": F.struct(F.struct("customer_id").alias("of"), F.lit(1).alias("n"))}
+    )
+    write_array(written.drop("num_products"), SOURCE_ID, path)
+    with small_splits(spark):
+        return read_json_array(spark, path, [*USAGE.columns, "note", "inner"]).drop(SOURCE_ID)
+
+
+@query
+def bronze_arrival_ids(spark, sf_dir):
+    """The first file came last; every file is cut into several blocks."""
+    path = write_late_first(spark, sf_dir)
+    with small_splits(spark, "16k"):
+        scanned = with_source_id(read_csv(spark, path, CUSTOMERS.columns, header=False))
+        stored = stage(scanned.select(*CUSTOMERS.columns, SOURCE_ID), "arrivals")
+    numbered = number_arrivals(stored)
+    return numbered.select("RowNumber", "CustomerId", F.col(SOURCE_ID).alias("arrival_id"))
+
+
+class _Stopped(RuntimeError):
+    pass
+
+
+@query
+def stream_landing_replace(spark, sf_dir):
+    """Events as 23 files, some of which are first dropped with other rows; the
+    second batch fails half way and the run is started again."""
+    events = table(spark, sf_dir, "events")
+    schema = ", ".join(f"{name} {kind}" for name, kind in events.dtypes)
+    folder = new_dir(spark, "landing")
+    drop = f"{folder}/drop"
+    for number in range(23):
+        rows = events.where(F.col("event_id") % 23 == number)
+        if number % 4 == 0:
+            rows = rows.withColumn("value", F.col("value") + 1).where("event_id % 2 = 0")
+        drop_file(rows, f"{drop}/day={number % 3}/events-{number}.parquet")
+    wanted = (spark, drop, "*.parquet", "parquet", schema, f"{folder}/bronze")
+
+    def fail(batch: int) -> None:
+        if batch == 2:
+            raise _Stopped
+
+    try:
+        landing.land_changes(*wanted, before_record=fail)
+    except _Stopped:
+        landing.land_changes(*wanted)
+    for number in range(0, 23, 4):
+        rows = events.where(F.col("event_id") % 23 == number)
+        drop_file(rows, f"{drop}/day={number % 3}/events-{number}.parquet")
+    landing.land_changes(*wanted)
+    return landing.landed_versions(spark, f"{folder}/bronze", schema).select(*events.columns)
+
+
 @query
 def stream_landing(spark, sf_dir):
     events = table(spark, sf_dir, "events")
     schema = ", ".join(f"{name} {kind}" for name, kind in events.dtypes)
     files = landing.watch_files(
-        spark, f"{sf_dir}/events.parquet", "*.parquet", "parquet", schema, max_files=1000
+        spark, f"{sf_dir}/events.parquet", "*.parquet", "parquet", schema
     )
     folder = new_dir(spark, "landing")
     landing.land(files, f"{folder}/bronze", f"{folder}/checkpoint").awaitTermination()
@@ -407,6 +481,71 @@ def gold_tables_register(spark, sf_dir):
     )
 
 
+@query
+def gold_published(spark, sf_dir):
+    """Rows of the gold tables as readers see them after a set was published, after
+    a run that failed between two tables, and after a set that came through."""
+    tables = lake.gold_tables(spark, sf_dir)
+    folder = new_dir(spark, "published")
+    churned = tables.dim.where("is_churned = 1")
+    of_churned = tables.fact.join(churned.select("customer_id"), "customer_id", "left_semi")
+    mart = gold.build_mart(gold.with_churn_flag(of_churned, churned))
+    small = dict(zip(gold.TABLES, (churned, of_churned, mart), strict=True))
+    whole = dict(zip(gold.TABLES, (tables.dim, tables.fact, tables.mart), strict=True))
+
+    def seen(when: str) -> DataFrame:
+        found = current(spark, folder)
+        rows = gold.row_counts(gold.Gold(*[found.read(spark, name) for name in gold.TABLES]))
+        return stage(rows.select(F.lit(when).alias("seen"), "*"), "seen")
+
+    publish(spark, folder, small, keep=1)
+    first = seen("first")
+    broken = tables.mart.withColumn("churn_rate", F.raise_error(F.lit("stopped")).cast("double"))
+    try:
+        publish(spark, folder, {**whole, "monthly_churn_rate": broken}, keep=1)
+    except Exception as error:
+        if "stopped" not in str(error):
+            raise
+    failed = seen("failed")
+    publish(spark, folder, whole, keep=1)
+    return first.unionByName(failed).unionByName(seen("second"))
+
+
+# --- jobs ---------------------------------------------------------------
+
+
+@query
+def job_silver(spark, sf_dir):
+    """Every row of all four sources after the silver job, from raw files."""
+    layout = lake.job_lake(spark, sf_dir)
+    parts = []
+    for spec in SPECS:
+        key = F.col(spec.key).cast("string").alias("business_key")
+        clean = spark.read.parquet(layout.silver(spec.name))
+        clean = clean.withColumn(REASON, F.lit(None).cast("string"))
+        for rows in (clean, spark.read.parquet(layout.rejected(spec.name))):
+            parts.append(rows.select(F.lit(spec.name).alias("dataset"), key, REASON))
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query
+def job_gold_dim(spark, sf_dir):
+    dim = spark.read.parquet(lake.job_lake(spark, sf_dir).gold("dim_customer"))
+    return rounded(dim, "CLV_LTV", "avg_ticket_res_time_hrs")
+
+
+@query
+def job_gold_fact(spark, sf_dir):
+    fact = spark.read.parquet(lake.job_lake(spark, sf_dir).gold("fact_customer_activity"))
+    return rounded(fact, "total_balance", "avg_balance", "avg_resolution_time", "acceptance_rate")
+
+
+@query
+def job_gold_mart(spark, sf_dir):
+    mart = spark.read.parquet(lake.job_lake(spark, sf_dir).gold("monthly_churn_rate"))
+    return rounded(mart, "churn_rate")
+
+
 # --- quality ------------------------------------------------------------
 
 
