@@ -1,4 +1,4 @@
-"""Run a layer: ``python -m churnlake.jobs silver ROOT``, then ``gold ROOT``."""
+"""Run a layer: ``python -m churnlake.jobs silver ROOT``, then gold, train and score."""
 
 from __future__ import annotations
 
@@ -9,14 +9,16 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from churnlake.layout import Layout
+from churnlake.plans.forest import run_score, run_train
 from churnlake.plans.gold import VALID_FROM, run_gold
+from churnlake.plans.model import confusion_matrix
 from churnlake.plans.silver import run_silver
 from churnlake.scratch import staging
 
 
 def main(arguments: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(description=__doc__)
-    parser.add_argument("layer", choices=("silver", "gold"))
+    parser.add_argument("layer", choices=("silver", "gold", "train", "score"))
     parser.add_argument("root", help="lake folder on shared storage")
     parser.add_argument("--as-of", help="latest allowed date, default today")
     parser.add_argument("--json-lines", action="store_true", help="usage is JSON Lines")
@@ -26,6 +28,12 @@ def main(arguments: list[str] | None = None) -> int:
     spark = SparkSession.builder.appName(f"churnlake-{options.layer}").getOrCreate()
     layout = Layout(options.root.rstrip("/"))
     with staging(spark, options.layer):
+        if options.layer == "train":
+            run_train(spark, layout)
+            return 0
+        if options.layer == "score":
+            confusion_matrix(run_score(spark, layout)).show()
+            return 0
         if options.layer == "gold":
             run_gold(spark, layout, options.valid_from, options.replace)
             return 0

@@ -51,6 +51,11 @@ class Layout:
     def gold(self, table: str) -> str:
         return _published(self.gold_set, table) or f"{self.root}/gold/{table}"
 
+    @property
+    def model_set(self) -> str:
+        """The folder in which the nodes of the model are published."""
+        return f"{self.root}/models/_published"
+
     def model(self, name: str) -> str:
         return f"{self.root}/models/{name}"
 

@@ -253,14 +253,10 @@ def build_dim(
     return dense_key(dim, ["customer_id"], "cust_key").select(*DIM_COLUMNS)
 
 
-def build_keyed_fact(rollup: DataFrame, dim: DataFrame) -> DataFrame:
-    """The activity fact with the churn flag of its customer.
-
-    One join serves three ends: it drops unknown customers, and brings both
-    the surrogate key and the flag the churn mart counts.
-    """
+def filled_measures(rollup: DataFrame) -> DataFrame:
+    """The measures of every active month, with 0 for what a source has no value of."""
     measures = monthly_measures(rollup)
-    measures = measures.select(
+    return measures.select(
         *ACTIVITY_KEY,
         *[
             F.coalesce(name, F.lit(0)).alias(name)
@@ -268,7 +264,15 @@ def build_keyed_fact(rollup: DataFrame, dim: DataFrame) -> DataFrame:
             if name not in ACTIVITY_KEY
         ],
     )
-    known = measures.join(dim.select("customer_id", "cust_key", "is_churned"), "customer_id")
+
+
+def build_keyed_fact(rollup: DataFrame, dim: DataFrame) -> DataFrame:
+    """The activity fact with the churn flag of its customer.
+
+    One join serves three ends: it drops unknown customers, and brings both
+    the surrogate key and the flag the churn mart counts.
+    """
+    known = filled_measures(rollup).join(dim.select("customer_id", "cust_key", "is_churned"), "customer_id")
     return dense_key(known, list(ACTIVITY_KEY), "activity_key").select(
         *FACT_COLUMNS, "is_churned"
     )

@@ -17,6 +17,7 @@ from dataclasses import asdict, dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from churnlake.sources.writers import write_dataset, write_report
 
@@ -149,6 +150,56 @@ def _forget(spark: SparkSession, files: _Files, folder: str, keep: int) -> None:
             files.delete(f"{folder}/{VERSIONS}/{version}")
 
 
+PART = "_part"
+
+
+def publish_parts(
+    spark: SparkSession,
+    folder: str,
+    df: DataFrame,
+    column: str,
+    *,
+    values: Collection[str] | None = None,
+    inputs: str = "",
+    keep: int = 2,
+) -> Commit:
+    """Publish a table cut by the values of a text column, which are few.
+
+    With ``values``, ``df`` holds the rows of those values only: their parts are
+    replaced, or go if there are no rows, and all others stay the files they are.
+    """
+    files = _Files(spark, folder)
+    before = current(spark, folder)
+    number = before.number + 1 if before else 1
+    version = f"{number:010d}-{uuid.uuid4().hex}"
+    path = f"{folder}/{VERSIONS}/{version}"
+    # One task writes a value's rows unless AQE splits it by size.
+    df.withColumn(PART, F.col(column)).hint("rebalance", PART).write.partitionBy(PART).parquet(path)
+    written = [name for name in files.names(path) if name.startswith(f"{PART}=")]
+    parts = {name.split("=", 1)[1]: f"{path}/{name}" for name in written}
+    if values is not None:
+        unexpected = sorted(set(parts) - set(values))
+        if unexpected:
+            raise ValueError(f"rows of values that are not replaced: {unexpected}")
+        old = before.tables if before else {}
+        parts = {name: place for name, place in old.items() if name not in values} | parts
+    # Kept with the record, for a table without parts has no files to tell it.
+    schema = {"schema": df.schema.json()}
+    commit = Commit(number, parts, inputs, [schema])
+    if not files.put(_record(folder, number), json.dumps(asdict(commit))):
+        raise PublishConflict(f"{folder}: set {number} was published by another job")
+    _forget(spark, files, folder, keep)
+    return commit
+
+
+def read_parts(spark: SparkSession, commit: Commit) -> DataFrame:
+    """The table of all parts."""
+    schema = StructType.fromJson(json.loads(commit.report[0]["schema"]))
+    if not commit.tables:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*sorted(commit.tables.values()))
+
+
 def files_fingerprint(spark: SparkSession, path: str) -> str:
     """A digest of the paths, sizes and modification times of all files below a
     folder. They are listed by Spark; no content is read."""

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from churnlake.layout import Layout
 from churnlake.operators.keys import key_reference
+from churnlake.plans.forest import forest_nodes, scaled_inputs
 from churnlake.plans.features import LABEL, customer_features, stratified_split
 from churnlake.plans.gold import Gold, activity_rollup, build_dim, build_facts, run_gold
 from churnlake.plans.model import importances, load_model, save_model, select_features
@@ -17,9 +18,6 @@ from churnlake.sources.specs import CUSTOMERS, OFFERS, TICKETS, USAGE, SourceSpe
 from churnlake.workload.dropped import write_bronze
 from churnlake.workload.raw import RAW, as_of
 
-# Trees of the model whose label one feature decides.
-SEPARABLE_TREES = 60
-
 _BUILT: dict[tuple[str, str, str], object] = {}
 
 
@@ -131,7 +129,7 @@ def trained(
     def build() -> tuple[PipelineModel, PipelineModel, tuple[str, ...]]:
         training, _ = split_features(spark, sf_dir)
         chosen = select_features(training)
-        folder = new_dir(spark, "models")
+        folder = _once(spark, sf_dir, "model-folder", lambda: new_dir(spark, "models"))
         save_model(chosen.baseline, f"{folder}/baseline")
         save_model(chosen.final, f"{folder}/final")
         return (
@@ -143,6 +141,18 @@ def trained(
     return _once(spark, sf_dir, "model", build)
 
 
+def final_nodes(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[tuple[str, float, float]]]:
+    """The final model as a stored table, and how its features are scaled."""
+
+    def build() -> tuple[DataFrame, list[tuple[str, float, float]]]:
+        _, final, _ = trained(spark, sf_dir)
+        folder = _BUILT[_key(spark, sf_dir, "model-folder")]
+        nodes = forest_nodes(spark, f"{folder}/final", final)
+        return stage(nodes, "nodes"), scaled_inputs(final)
+
+    return _once(spark, sf_dir, "nodes", build)
+
+
 def separable(
     spark: SparkSession, sf_dir: str
 ) -> tuple[DataFrame, PipelineModel, list[tuple[str, float]]]:
@@ -156,7 +166,7 @@ def separable(
             LABEL, (F.col("num_products") >= 3).cast("int")
         )
         split = stage(stratified_split(labelled), "separable")
-        chosen = select_features(split.where("split = 'train'"), trees=SEPARABLE_TREES)
+        chosen = select_features(split.where("split = 'train'"))
         path = new_dir(spark, "models")
         save_model(chosen.final, path)
         return split, load_model(path), importances(chosen.baseline)

@@ -957,6 +957,7 @@ FROM (
     "ml_score_rules": (
         "SELECT customer_id, is_churned AS actual_churn, true AS consistent FROM dim"
     ),
+    "ml_score_nodes": "SELECT customer_id, is_churned AS actual_churn, true AS same FROM dim",
     "ml_importance_total": " UNION ALL ".join(
         f"SELECT '{name}' AS feature, true AS not_negative, CAST(1 AS DOUBLE) AS total"
         for name in FEATURES
@@ -964,7 +965,8 @@ FROM (
     "ml_separable_score": (
         "SELECT customer_id, is_churned AS actual_churn, is_churned AS predicted_churn, "
         "CASE WHEN is_churned = 1 "
-        "THEN 'Likely to churn' ELSE 'Likely to stay' END AS prediction_label FROM separable_rows"
+        "THEN 'Likely to churn' ELSE 'Likely to stay' END AS prediction_label, "
+        "true AS probability_is_right FROM separable_rows"
     ),
     "ml_separable_confusion": (
         "SELECT is_churned AS actual_churn, is_churned AS predicted_churn, count(*) AS customers "
@@ -981,6 +983,24 @@ FROM (
     "ml_separable_first": "SELECT 'num_products' AS feature, true AS kept",
 }
 
+_MEANS = "total_balance avg_balance avg_resolution_time acceptance_rate".split()
+_ROUNDED_MEANS = ", ".join(f"round({name} + 1e-9, 6) AS {name}" for name in _MEANS)
+_LATE = "activity_month IN ('1997-03', '1998-07')"
+
+FINAL["rollup_merge"] = f"""
+SELECT * REPLACE ({_ROUNDED_MEANS}) FROM (
+  SELECT customer_id, activity_month, coalesce(usage_events, 0) AS usage_events, total_balance,
+    avg_balance, coalesce(ticket_count, 0) AS ticket_count, avg_resolution_time,
+    coalesce(offer_count, 0) AS offer_count, coalesce(accepted_offers, 0) AS accepted_offers,
+    acceptance_rate
+  FROM usage_monthly
+  FULL JOIN tickets_monthly USING (customer_id, activity_month)
+  FULL JOIN offers_monthly USING (customer_id, activity_month))"""
+FINAL["gold_fact_increment"] = f"""
+SELECT * EXCLUDE (activity_key) REPLACE ({_ROUNDED_MEANS}),
+  CASE WHEN NOT ({_LATE} AND customer_id % 3 = 0) THEN true END AS key_kept,
+  true AS keys_dense, {_LATE} AS rebuilt
+FROM fact"""
 FINAL["job_silver"] = " UNION ALL ".join(
     f"SELECT '{dataset}' AS dataset, {varchar(KEYS[name])} AS business_key, rejection_reason "
     f"FROM silver_{name}"

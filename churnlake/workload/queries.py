@@ -26,9 +26,9 @@ from churnlake.layout import Layout
 from churnlake.operators import dedupe, keys, quality
 from churnlake.operators import reconcile as accounting
 from churnlake.operators.rules import REASON
-from churnlake.plans import bi, features, gold, model
+from churnlake.plans import bi, features, forest, gold, increment, model
 from churnlake.plans.silver import judged_rows
-from churnlake.publish import current, publish
+from churnlake.publish import current, publish, read_parts
 from churnlake.scratch import new_dir, stage
 from churnlake.sources.arrival import number_arrivals
 from churnlake.sources.json_array import read_json_array
@@ -43,7 +43,7 @@ from churnlake.sources.specs import CUSTOMERS, KNOWN_CUSTOMER, OFFERS, TICKETS,
 from churnlake.streaming import landing
 from churnlake.workload import defects, lake
 from churnlake.workload.dropped import drop_file, small_splits, write_array, write_late_first
-from churnlake.workload.raw import RAW, as_of, line_counts, raw_text, table
+from churnlake.workload.raw import RAW, UNKNOWN, as_of, line_counts, raw_text, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -546,6 +546,75 @@ def job_gold_mart(spark, sf_dir):
     return rounded(mart, "churn_rate")
 
 
+# --- what changes -------------------------------------------------------
+
+# Activity that comes late, and activity that is first there with other values.
+LATE_MONTHS = ("1997-03", "1998-07")
+
+
+def _dated(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """Clean usage, tickets and offers, each with its month."""
+    _, tickets, offers, usage = lake.clean_tables(spark, sf_dir)
+    month_named = F.col("usage_month")
+    return [
+        usage.withColumn("_month", month_named),
+        tickets.withColumn("_month", month_of(F.col("created_at"))),
+        offers.withColumn("_month", month_of(F.col("date_offered"))),
+    ]
+
+
+@query
+def rollup_merge(spark, sf_dir):
+    """The rollup after rows came late, wrong rows went and others were replaced."""
+    rows = _dated(spark, sf_dir)
+    late = F.col("customer_id") % 10 == 3
+    replaced = F.col("customer_id") % 10 == 5
+    wrong = [
+        rows[0].where(replaced).withColumn("monthly_balance", F.col("monthly_balance") + 100),
+        rows[1].where(replaced).withColumn("created_at", F.add_months("created_at", 1)),
+        rows[2].where(replaced).withColumn("accepted", 1 - F.col("accepted")),
+    ]
+    # Rows of customers that are in no clean row at all: they go without trace.
+    stray = [part.withColumn("customer_id", F.col("customer_id") + UNKNOWN) for part in wrong]
+    removed = [one.unionByName(two) for one, two in zip(wrong, stray, strict=True)]
+    first = [part.where(~late & ~replaced).unionByName(gone) for part, gone in zip(rows, removed, strict=True)]
+    state = stage(gold.activity_rollup(*first), "rollup-before")
+    added = [part.where(late | replaced) for part in rows]
+    merged = increment.update_rollup(state, added, removed)
+    return rounded(
+        gold.monthly_measures(merged),
+        "total_balance", "avg_balance", "avg_resolution_time", "acceptance_rate",
+    )
+
+
+@query
+def gold_fact_increment(spark, sf_dir):
+    """The fact after late rows in two months: only those are built again, and keys
+    that were there stay."""
+    rows = _dated(spark, sf_dir)
+    late = F.col("_month").isin(*LATE_MONTHS) & (F.col("customer_id") % 3 == 0)
+    folder, dim = new_dir(spark, "fact"), lake.dim_table(spark, sf_dir)
+    early = [part.where(~late) for part in rows]
+    added = [part.where(late) for part in rows]
+    before = stage(gold.activity_rollup(*early), "rollup-before")
+    first = increment.store_fact(spark, folder, before, dim)
+    months = increment.changed_months(added)
+    after = stage(increment.update_rollup(before, added), "rollup-after")
+    second = increment.update_fact(spark, folder, after, dim, months)
+    rebuilt = {name for name in second.tables if second.tables[name] != first.tables.get(name)}
+    fact = read_parts(spark, second)
+    was = read_parts(spark, first).select(*gold.ACTIVITY_KEY, F.col("activity_key").alias("was"))
+    size = fact.agg(F.count("*").alias("n"), F.countDistinct("activity_key").alias("keys")).first()
+    return rounded(
+        fact.join(was, list(gold.ACTIVITY_KEY), "left")
+        .withColumn("key_kept", F.col("activity_key") == F.col("was"))
+        .withColumn("keys_dense", (F.col("activity_key").between(1, size.n)) & F.lit(size.n == size.keys))
+        .withColumn("rebuilt", F.col("activity_month").isin(*rebuilt))
+        .drop("was", "activity_key"),
+        "total_balance", "avg_balance", "avg_resolution_time", "acceptance_rate",
+    )
+
+
 # --- quality ------------------------------------------------------------
 
 
@@ -727,6 +796,26 @@ def ml_score(spark, sf_dir):
     return model.ranked_by_risk(model.predict(final, _features(spark, sf_dir)))
 
 
+@query
+def ml_score_nodes(spark, sf_dir):
+    """Predictions from the model as a table, and whether they are the model's."""
+    nodes, inputs = lake.final_nodes(spark, sf_dir)
+    _, final, _ = lake.trained(spark, sf_dir)
+    found = forest.score_with_nodes(_features(spark, sf_dir), nodes, inputs, model.DEPTH)
+    own = model.predict(final, _features(spark, sf_dir)).select(
+        "customer_id",
+        F.col("churn_probability").alias("p"),
+        F.col("predicted_churn").alias("predicted"),
+        F.col("prediction_label").alias("label"),
+    )
+    same = (
+        (F.abs(F.col("churn_probability") - F.col("p")) < 1e-9)
+        & (F.col("predicted_churn") == F.col("predicted"))
+        & (F.col("prediction_label") == F.col("label"))
+    )
+    return found.join(own, "customer_id").select("customer_id", "actual_churn", same.alias("same"))
+
+
 def _test_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, final, _ = lake.trained(spark, sf_dir)
     _, test = lake.split_features(spark, sf_dir)
@@ -843,9 +932,13 @@ def ml_importance_total(spark, sf_dir):
 
 @query
 def ml_separable_score(spark, sf_dir):
+    """How sure the forest is depends on the features its nodes draw; what SQL can
+    state is that it is a probability on the right side of a half."""
     split, final, _ = lake.separable(spark, sf_dir)
-    # How sure the forest is depends on the features its nodes draw, not on SQL.
-    return model.ranked_by_risk(model.predict(final, split)).drop("churn_probability")
+    ranked = model.ranked_by_risk(model.predict(final, split))
+    sure = F.col("churn_probability")
+    right = sure.between(0, 1) & ((sure > 0.5) == (F.col("predicted_churn") == 1))
+    return ranked.withColumn("probability_is_right", right).drop("churn_probability")
 
 
 def _separable_test(spark: SparkSession, sf_dir: str) -> DataFrame:
