@@ -137,25 +137,28 @@ def _churn_by_customer_total(
     cuts: tuple[tuple[float, str], ...],
     otherwise: str,
     name: str,
+    key: str,
 ) -> DataFrame:
-    totals = fact.groupBy("customer_id").agg(F.sum(measure).alias("total"))
+    """``key`` names the customer in both tables; one that they are laid out by
+    saves the shuffles."""
+    totals = fact.groupBy(key).agg(F.sum(measure).alias("total"))
     return (
-        totals.join(dim.select("customer_id", "is_churned"), "customer_id")
+        totals.join(dim.select(key, "is_churned"), key)
         .groupBy(segment(F.col("total"), cuts, otherwise).alias(name))
         .agg(_customers(), _churned(), _churn_percent())
         .orderBy(F.desc("churn_rate"), name)
     )
 
 
-def churn_by_balance(fact: DataFrame, dim: DataFrame) -> DataFrame:
+def churn_by_balance(fact: DataFrame, dim: DataFrame, key: str = "customer_id") -> DataFrame:
     return _churn_by_customer_total(
-        fact, dim, "total_balance", BALANCE_CUTS, "Low Balance", "balance_segment"
+        fact, dim, "total_balance", BALANCE_CUTS, "Low Balance", "balance_segment", key
     )
 
 
-def churn_by_engagement(fact: DataFrame, dim: DataFrame) -> DataFrame:
+def churn_by_engagement(fact: DataFrame, dim: DataFrame, key: str = "customer_id") -> DataFrame:
     return _churn_by_customer_total(
-        fact, dim, "usage_events", ENGAGEMENT_CUTS, "Low Engagement", "engagement_segment"
+        fact, dim, "usage_events", ENGAGEMENT_CUTS, "Low Engagement", "engagement_segment", key
     )
 
 

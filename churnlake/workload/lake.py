@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +12,14 @@ from churnlake.layout import Layout
 from churnlake.operators.keys import key_reference
 from churnlake.plans.forest import forest_nodes, scaled_inputs
 from churnlake.plans.features import LABEL, customer_features, stratified_split
-from churnlake.plans.gold import Gold, activity_rollup, build_dim, build_facts, run_gold
+from churnlake.plans.gold import (
+    Gold,
+    activity_rollup,
+    build_dim,
+    build_facts,
+    run_gold,
+    store_bucketed,
+)
 from churnlake.plans.model import importances, load_model, save_model, select_features
 from churnlake.plans.silver import Silver, clean_source, run_silver, standardize
 from churnlake.scratch import new_dir, stage
@@ -92,6 +101,18 @@ def gold_tables(spark: SparkSession, sf_dir: str) -> Gold:
     return _once(spark, sf_dir, "gold", build)
 
 
+def bucketed_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Dimension and fact as tables laid out by customer."""
+
+    def build() -> tuple[DataFrame, DataFrame]:
+        folder, database = new_dir(spark, "bucketed"), f"churn_{uuid.uuid4().hex}"
+        spark.sql(f"CREATE DATABASE {database} LOCATION '{folder}/database'")
+        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        return store_bucketed(spark, gold_tables(spark, sf_dir), folder, database, buckets)
+
+    return _once(spark, sf_dir, "bucketed", build)
+
+
 def job_lake(spark: SparkSession, sf_dir: str) -> Layout:
     """A lake that the jobs built from raw files, each in a run of its own; a second
     run of the silver job finds nothing to do."""

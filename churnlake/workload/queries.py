@@ -730,6 +730,39 @@ def bi_q13(spark, sf_dir):
     return bi.risk_segments(tables.fact, tables.dim)
 
 
+# The same questions over tables that are laid out by customer.
+
+
+@query
+def bucketed_q05(spark, sf_dir):
+    dim, fact = lake.bucketed_tables(spark, sf_dir)
+    return rounded(bi.most_supported_customers(fact, dim), "CLV_LTV")
+
+
+@query
+def bucketed_q06(spark, sf_dir):
+    dim, fact = lake.bucketed_tables(spark, sf_dir)
+    return bi.churn_by_resolution_time(fact, dim)
+
+
+@query
+def bucketed_q09(spark, sf_dir):
+    dim, fact = lake.bucketed_tables(spark, sf_dir)
+    return bi.churn_by_balance(fact, dim, gold.JOIN_KEY)
+
+
+@query
+def bucketed_q10(spark, sf_dir):
+    dim, fact = lake.bucketed_tables(spark, sf_dir)
+    return bi.churn_by_engagement(fact, dim, gold.JOIN_KEY)
+
+
+@query
+def bucketed_q13(spark, sf_dir):
+    dim, fact = lake.bucketed_tables(spark, sf_dir)
+    return bi.risk_segments(fact, dim)
+
+
 # --- churn model --------------------------------------------------------
 
 MEANS = tuple(

@@ -81,3 +81,23 @@ def test_hot_keys_are_not_capped(spark):
 def test_customers_are_joined_after_the_top_ten(spark):
     plan = explained(QUERIES["bi_q05"](spark, SF_DIR), "simple")
     assert plan.index("Join") < plan.rindex("TakeOrderedAndProject(limit=10")
+
+
+@pytest.mark.parametrize("name", sorted(n for n in QUERIES if n.startswith("bucketed_")))
+def test_tables_by_customer_are_joined_without_shuffles(spark, name):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    QUERIES[name](spark, SF_DIR).collect()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = explained(QUERIES[name](spark, SF_DIR), "simple")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "Bucketed: true" in plan
+    join = plan.splitlines()
+    at = next(n for n, line in enumerate(join) if "Join" in line)
+    below = [line for line in join[at + 1 :] if "Exchange" in line]
+    if name == "bucketed_q05":
+        # Ten rows are dealt out to the buckets of the dimension; the fact stays.
+        assert len(below) <= 1 and not any("partial_sum" in line for line in below)
+    else:
+        assert below == [], plan
