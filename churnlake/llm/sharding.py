@@ -18,8 +18,8 @@ import zlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
+from churnlake.operators.keys import dense_key
 from churnlake.scratch import stage
 
 CELLS = 1 << 14
@@ -32,6 +32,7 @@ _LAYOUT = T.StructType(
         T.StructField("high", T.LongType()),
         T.StructField("shard", T.IntegerType()),
         T.StructField("base", T.LongType()),
+        T.StructField("start", T.LongType()),
     ]
 )
 
@@ -115,18 +116,23 @@ def shard_documents(
             (F.coalesce(F.octet_length("text"), F.lit(0)) + 16).cast("long").alias("size"),
             F.coalesce(F.crc32("text"), F.lit(0)).cast("long").alias("text_crc32"),
             place.alias("place"),
+            F.monotonically_increasing_id().alias("row"),
         ).withColumn("cell", F.pmod("place", F.lit(CELLS)).cast("int")),
         "shard-rows",
     )
     counts = {row.cell: row["count"] for row in rows.groupBy("cell").count().collect()}
-    layout = spark.createDataFrame(lay_out(counts, shards, slack, virtual_nodes), _LAYOUT)
-    rank = F.row_number().over(
-        Window.partitionBy("cell").orderBy("place", "doc_id", "text_crc32", "size")
-    )
-    ranked = rows.withColumn("rank", rank.cast("long") - 1)
+    starts, start = {}, 0
+    for cell in sorted(counts):
+        starts[cell], start = start, start + counts[cell]
+    placed = lay_out(counts, shards, slack, virtual_nodes)
+    layout = spark.createDataFrame([(*one, starts[one[0]]) for one in placed], _LAYOUT)
+    # Ranks over all rows, by ranges that also cut a cell or a doc_id that holds a
+    # large share of them; a cell's ranks follow those of the cells before it.
+    ranked = dense_key(rows, ["cell", "place", "doc_id", "text_crc32", "size", "row"], "number")
     # The layout has a row per cell and one more for each time a shard fills up.
     return (
         ranked.join(F.broadcast(layout), "cell")
+        .withColumn("rank", F.col("number") - 1 - F.col("start"))
         .where("rank >= low and rank < high")
         .select(
             "doc_id",
