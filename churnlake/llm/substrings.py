@@ -37,7 +37,9 @@ SEED = 8
 # Suffixes of a group that one task holds.
 GROUP_ROWS = 4096
 
-_INFO = "doc_id long, digest binary, n_words long, positions array<int>, seeds array<long>"
+_INFO = (
+    "doc_id long, mark long, digest binary, n_words long, positions array<int>, seeds array<long>"
+)
 _CONTEXTS = (
     "seed long, longest long, size long, doc_id long, digest binary,"
     " position int, before int, context binary"
@@ -75,6 +77,7 @@ def _suffixes(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Rec
         yield pa.record_batch(
             {
                 "doc_id": batch.column("doc_id"),
+                "mark": batch.column("mark"),
                 "digest": pa.array(digests, pa.binary()),
                 "n_words": pa.array(np.diff(words.first), pa.int64()),
                 "positions": pa.array(positions, pa.list_(pa.int32())),
@@ -283,24 +286,33 @@ def _chunk_spans(table: pa.Table, known: pa.Table, window: int) -> pa.Table:
 
 
 def repeated_spans(docs: DataFrame, *, window: int = 50) -> DataFrame:
-    """(doc_id, digest, copy, spans) of the documents that repeat something.
+    """(doc_id, mark, digest, copy, spans) of the texts that repeat something.
 
     ``spans`` are word ranges (low, high) made up of windows of ``window``
     words whose sequence also starts in a document with a smaller doc_id;
     ``copy`` says that a smaller document has the same words throughout, in
-    which case everything repeats. ``digest`` tells texts of one doc_id apart.
+    which case everything repeats. ``digest`` tells texts of one doc_id apart, and
+    ``mark`` is a hash of the text.
     Texts shorter than a window, null texts and rows without doc_id repeat
     nothing.
     """
-    texts = docs.select("doc_id", "text").where("doc_id is not null")
+    # The mark tells most texts of a doc_id apart, so that each is only joined to
+    # what was found in it; the digest decides.
+    texts = docs.select("doc_id", "text", F.xxhash64("text").alias("mark")).where(
+        "doc_id is not null"
+    )
     info = stage(texts.mapInArrow(partial(_suffixes, window=window), _INFO), "suffixes")
     long_enough = info.where(F.col("n_words") >= window)
     firsts = stage(long_enough.groupBy("digest").agg(F.min("doc_id").alias("doc_id")), "firsts")
     entered = long_enough.join(firsts, ["digest", "doc_id"], "left_semi").dropDuplicates(
         ["digest", "doc_id"]
-    ).select("doc_id", "digest", F.explode(F.arrays_zip("positions", "seeds")).alias("at"))
+    ).select("doc_id", "mark", "digest", F.explode(F.arrays_zip("positions", "seeds")).alias("at"))
     suffixes = entered.select(
-        "doc_id", "digest", F.col("at.positions").alias("position"), F.col("at.seeds").alias("seed")
+        "doc_id",
+        "mark",
+        "digest",
+        F.col("at.positions").alias("position"),
+        F.col("at.seeds").alias("seed"),
     )
     # Stored, so that AQE can split a hot seed's side of the join.
     several = stage(
@@ -312,11 +324,12 @@ def repeated_spans(docs: DataFrame, *, window: int = 50) -> DataFrame:
     )
     found = (
         suffixes.join(several, "seed")
-        .groupBy("doc_id", "digest")
+        .groupBy("doc_id", "mark", "digest")
         .agg(F.collect_list(F.struct("position", "seed", "size")).alias("found"))
     )
+    # Of equal texts of a doc_id one is enough.
     contexts = stage(
-        texts.join(found, "doc_id").mapInArrow(partial(_contexts, window=window), _CONTEXTS),
+        texts.join(found, ["doc_id", "mark"]).dropDuplicates(["doc_id", "mark", "text"]).mapInArrow(partial(_contexts, window=window), _CONTEXTS),
         "contexts",
     )
     chosen = ["doc_id", "digest", "position", "before", "context"]
@@ -373,8 +386,11 @@ def repeated_spans(docs: DataFrame, *, window: int = 50) -> DataFrame:
         .where("first < doc_id")
         .select("doc_id", "digest", F.lit(True).alias("copy"))
     )
-    return copies.join(spans, ["doc_id", "digest"], "full").select(
-        "doc_id", "digest", F.coalesce("copy", F.lit(False)).alias("copy"), "spans"
+    marks = long_enough.select("doc_id", "digest", "mark").distinct()
+    return (
+        copies.join(spans, ["doc_id", "digest"], "full")
+        .join(marks, ["doc_id", "digest"])
+        .select("doc_id", "mark", "digest", F.coalesce("copy", F.lit(False)).alias("copy"), "spans")
     )
 
 
@@ -422,11 +438,12 @@ def remove_repeats(docs: DataFrame, *, window: int = 50) -> DataFrame:
     """
     found = (
         repeated_spans(docs, window=window)
-        .groupBy(F.col("doc_id").alias("of"))
+        .groupBy(F.col("doc_id").alias("of"), F.col("mark").alias("of_mark"))
         .agg(F.collect_list(F.struct("digest", "copy", "spans")).alias("found"))
     )
-    rows = docs.select(F.struct(*docs.columns).alias("doc"))
-    joined = rows.join(found, F.col("doc.doc_id") == F.col("of"), "left")
+    rows = docs.select(F.struct(*docs.columns).alias("doc"), F.xxhash64("text").alias("mark"))
+    same = (F.col("doc.doc_id") == F.col("of")) & (F.col("mark") == F.col("of_mark"))
+    joined = rows.join(found, same, "left")
     fields = rows.schema["doc"].dataType.simpleString()
     return joined.select("doc", "found").mapInArrow(
         partial(_removed, window=window),
