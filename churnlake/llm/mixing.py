@@ -16,6 +16,7 @@ kind share the rest. Such targets are logged with what was reached.
 from __future__ import annotations
 
 import logging
+import uuid
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -27,6 +28,9 @@ from churnlake.scratch import stage
 
 CELL = ("source", "lang", "topic")
 SWEEPS = 40
+
+# Pairs of language and topic that the driver rakes; more are refused.
+MAX_PAIRS = 1 << 16
 TOLERANCE = 1e-6
 # Shares that differ by more are reported, the largest LISTED differences in the log.
 REPORTED, LISTED = 1e-5, 20
@@ -131,7 +135,10 @@ def cell_weights(cells: DataFrame, targets: Targets) -> DataFrame:
     """``cells`` (source, lang, topic, tokens) with ``weight``, the target tokens
     of the cell for each of its tokens; the weighted tokens add up to all."""
     spark = cells.sparkSession
-    totals = cells.groupBy("lang", "topic").agg(F.sum("tokens").alias("tokens")).collect()
+    pairs = cells.groupBy("lang", "topic").agg(F.sum("tokens").alias("tokens"))
+    totals = pairs.limit(MAX_PAIRS + 1).collect()
+    if len(totals) > MAX_PAIRS:
+        raise ValueError(f"more than {MAX_PAIRS} pairs of language and topic")
     langs = sorted({row.lang for row in totals})
     topics = sorted({row.topic for row in totals})
     plain = _pair_table(totals, langs, topics, "tokens")
@@ -348,22 +355,23 @@ def mix_sources(
     are words. A null source, language or topic counts as ''. A document is kept
     if a hash of its doc_id, or of its text where that is null, lies below its
     probability, so a rerun keeps the same. A text without words has no weight
-    of its own and is drawn with the probability ``keep``. The column name
-    ``_tokens`` is reserved.
+    of its own and is drawn with the probability ``keep``. More than ``MAX_PAIRS``
+    pairs of language and topic are refused.
     """
+    tokens = f"_tokens_{uuid.uuid4().hex}"
     text = F.coalesce("text", F.lit(""))
     words = n_words(text).cast("long")
     place = F.when(F.col("doc_id").isNotNull(), F.xxhash64(F.lit(seed), "doc_id")).otherwise(
         F.xxhash64(F.lit(seed), text)
     )
-    kind = genre(text, F.col("_tokens")) if topic is None else F.coalesce(topic, F.lit(""))
+    kind = genre(text, F.col(tokens)) if topic is None else F.coalesce(topic, F.lit(""))
     # A column of its own, so that a text is split once.
-    rows = docs.withColumn("_tokens", words).select(
+    rows = docs.withColumn(tokens, words).select(
         F.struct(*docs.columns).alias("doc"),
         F.coalesce("source", F.lit("")).alias("source"),
         F.coalesce("lang", F.lit("")).alias("lang"),
         kind.alias("topic"),
-        F.col("_tokens").alias("tokens"),
+        F.col(tokens).alias("tokens"),
         (F.shiftrightunsigned(place, 11) / F.lit(float(1 << 53))).alias("draw"),
     )
     cells = stage(rows.groupBy(*CELL).agg(F.sum("tokens").alias("tokens")), "mixing-cells")
