@@ -13,6 +13,11 @@ from pyspark.sql import functions as F
 from churnlake.llm import host_rules, minhash, mixing, sharding, substrings, words
 
 
+def words_of(seed, count):
+    rng = np.random.Generator(np.random.PCG64(seed))
+    return [f"w{n}" for n in rng.integers(0, 10**6, count)]
+
+
 def texts_of(df):
     return [(row.doc_id, row.text) for row in df.select("doc_id", "text").collect()]
 
@@ -57,6 +62,78 @@ def test_keys_overflow_clockwise_and_few_move():
     assert sum(before[key] != after[key] for key in before) < len(before) / 5
 
 
+def walk(counts, shards, slack, virtual_nodes):
+    """Key by key: from its cell clockwise to the first node whose shard has room,
+    the keys in rounds of one node each, as bounded loads are defined here."""
+    nodes = sorted(
+        (zlib.crc32(f"shard {s} node {n}".encode()) % sharding.CELLS, s)
+        for s in range(shards)
+        for n in range(virtual_nodes)
+    )
+    room = sharding.capacities(sum(counts.values()), shards, slack)
+    owners, used, waiting = {}, [0] * shards, []
+    for cell in sorted(counts):
+        at = next((i for i, (place, _) in enumerate(nodes) if place >= cell), 0)
+        waiting += [((cell, rank), at) for rank in range(counts[cell])]
+    while waiting:
+        later = []
+        for key, at in waiting:
+            shard = nodes[at][1]
+            if used[shard] < room[shard]:
+                used[shard] += 1
+                owners[key] = shard
+            else:
+                later.append((key, at))
+        waiting = []
+        for key, at in later:
+            while used[nodes[at][1]] == room[nodes[at][1]]:
+                at = (at + 1) % len(nodes)
+            waiting.append((key, at))
+    return owners
+
+
+@pytest.mark.parametrize("slack", [0.0, 0.25])
+def test_the_ring_equals_a_plain_walk(slack):
+    counts = {cell: 1 + cell % 5 for cell in range(0, sharding.CELLS, 97)} | {300: 400}
+    found = {}
+    for cell, low, high, shard, _ in sharding.lay_out(counts, 7, slack, 8):
+        found.update({(cell, rank): shard for rank in range(low, high)})
+    assert found == walk(counts, 7, slack, 8)
+
+
+def test_one_doc_id_may_hold_most_rows(spark):
+    rows = [(1, "same")] * 3000 + [(1, f"text {n % 50}") for n in range(1000)]
+    rows += [(n, "x") for n in range(500)] + [(None, None)] * 500
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    found = sharding.shard_documents(docs, 8).collect()
+    sizes = Counter(row.shard for row in found)
+    assert len(found) == 5000 and max(sizes.values()) - min(sizes.values()) <= 1
+    for shard, size in sizes.items():
+        assert sorted(row.slot for row in found if row.shard == shard) == list(range(size))
+
+
+def test_many_texts_of_one_doc_id(spark):
+    passage = " ".join(words_of(9, 60))
+    rows = [(1, passage)] + [(7, f"{passage} tail {n}") for n in range(500)] + [(7, f"{passage} tail 0")] * 500
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = substrings.remove_repeats(docs, window=50).collect()
+    assert len(found) == 1001
+    assert all(row.n_removed == (60 if row.doc.doc_id == 7 else 0) for row in found)
+
+
+def test_mixing_takes_any_column_name_and_refuses_too_many_topics(spark, monkeypatch):
+    docs = spark.createDataFrame(
+        [(n, "a b c", "en", f"s{n % 2}", 7, n) for n in range(20)],
+        "doc_id long, text string, lang string, source string, _tokens int, topic_of long",
+    )
+    mixed = mixing.mix_sources(docs)
+    assert mixed.schema["doc"].dataType == docs.schema
+    assert mixed.where("doc._tokens != 7 or tokens != 3").count() == 0
+    monkeypatch.setattr(mixing, "MAX_PAIRS", 10)
+    with pytest.raises(ValueError, match="more than 10 pairs"):
+        mixing.mix_sources(docs, topic=F.col("topic_of").cast("string"))
+
+
 def brute_sets(text, length):
     own = [w.lower() for w in (text or "").encode().split()]
     if 0 < len(own) < length:

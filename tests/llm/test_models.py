@@ -130,12 +130,12 @@ def test_graph_search_recall_ties_and_unusable_vectors(spark):
 def test_section_tokens_against_single_tokens(odd, none):
     encoding, _ = token_counts.load(token_counts.VOCABULARY)
     assert isinstance(encoding, tiktoken.Encoding)
-    found = {}
+    found, expected = {}, {}
     for row in token_counts.section_tokens(odd).collect():
         found.setdefault(row.doc_id, []).append(row)
     for key, text in [(r.doc_id, r.text or "") for r in odd.collect()]:
         data = text.encode()
-        lines = [x for x in data.splitlines(keepends=True)] if False else data.split(b"\n")
+        lines = data.split(b"\n")
         lines = [x + b"\n" for x in lines[:-1]] + ([lines[-1]] if lines[-1] or len(lines) == 1 else [])
         owner = [n for n, line in enumerate(lines) for _ in line]
         counts, crossing, at = [0] * len(lines), [0] * len(lines), 0
@@ -150,7 +150,14 @@ def test_section_tokens_against_single_tokens(odd, none):
             crossing[best] += len(touched) > 1
             at += size
         sections = [(len(x.decode()), c, k) for x, c, k in zip(lines, counts, crossing, strict=True)]
-        assert set(sections) <= {(r.n_chars, r.n_tokens, r.n_crossing) for r in found[key]}
+        expected.setdefault(key, []).extend(
+            (n, sum(len(line.decode()) for line in lines[:n]), *section)
+            for n, section in enumerate(sections)
+        )
+    columns = ("section", "first_char", "n_chars", "n_tokens", "n_crossing")
+    assert {
+        key: sorted(tuple(r[name] for name in columns) for r in rows) for key, rows in found.items()
+    } == {key: sorted(rows) for key, rows in expected.items()}
     assert token_counts.section_tokens(none).count() == 0
 
 
