@@ -8,22 +8,27 @@ drops those it covers, ``ALPHA`` times nearer to it than to the node, until
 ``DEGREE`` diverse edges are left. Edges are also entered backwards, and a node
 with more than ``MOST`` is pruned again.
 
-The graphs are stored. Queries visit every shard in blocks; a beam search finds
-each shard's best, whose cosines are then computed in double precision.
+The graphs are stored. A task reads a shard's nodes once and lets the queries pass
+by them; a beam search finds each shard's best, whose cosines are then computed in
+double precision. Neither the index nor the queries of a shard are held whole but
+for the one graph.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import partial
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from churnlake.llm.words import pieces
 from churnlake.scratch import stage
 
 SHARD_ROWS = 4096
-QUERY_BLOCK = 4096
 ALPHA = 1.2
 DEGREE, MOST = 32, 48
 BUILD_BEAM, SEARCH_BEAM = 64, 128
@@ -156,30 +161,65 @@ def _indexed(table: pa.Table) -> pa.Table:
     )
 
 
-def _searched(queries: pa.Table, nodes: pa.Table, k: int) -> pa.Table:
-    """The k + 1 best nodes of a shard for each query of a block."""
-    nodes = nodes.sort_by("place").combine_chunks()
-    found = {"query_id": [], "vec_ids": [], "score": []}
-    if nodes.num_rows and queries.num_rows:
-        vectors, asked = _matrix(nodes, "vector"), _matrix(queries, "vector")
-        points, edges = _unit(vectors), np.full((len(vectors), MOST), -1, np.int64)
+def _bounded(vectors: np.ndarray) -> np.ndarray:
+    """The vectors, each times a power of two that keeps its squares in range; that
+    changes no cosine, not even in its last digit."""
+    _, exponent = np.frexp(np.abs(vectors).max(axis=1, keepdims=True))
+    return np.ldexp(vectors, -exponent)
+
+
+class _Shard:
+    """A shard's graph, and the ids of the rows of its nodes."""
+
+    def __init__(self, nodes: pa.Table) -> None:
+        self.vectors = _bounded(_matrix(nodes, "vector"))
+        self.lengths = np.sqrt((self.vectors**2).sum(axis=1))
+        self.points = _unit(self.vectors)
+        self.names = nodes.column("vec_ids").to_pylist()
+        self.edges = np.full((len(self.points), MOST), -1, np.int64)
         for row, own in enumerate(nodes.column("edges").to_pylist()):
-            edges[row, : len(own)] = own
-        lengths = np.sqrt((vectors**2).sum(axis=1))
-        names, ids = nodes.column("vec_ids").to_pylist(), queries.column("query_id").to_pylist()
-        for at in range(0, len(asked), BATCH):
-            some = asked[at : at + BATCH]
-            best, _ = beam_search(points, edges, entry_points(len(points)), _unit(some), SEARCH_BEAM)
-            for query, vector, near in zip(ids[at : at + BATCH], some, best, strict=True):
-                near = near[near >= 0]
-                score = (vectors[near] * vector).sum(axis=1)
-                score /= lengths[near] * np.sqrt((vector**2).sum())
-                for node in np.lexsort(([names[n][0] for n in near], -score))[: k + 1]:
-                    found["query_id"].append(query)
-                    found["vec_ids"].append(names[near[node]])
-                    found["score"].append(float(score[node]))
-    kinds = {"query_id": pa.int64(), "vec_ids": pa.list_(pa.int64()), "score": pa.float64()}
-    return pa.table({name: pa.array(found[name], kind) for name, kind in kinds.items()})
+            self.edges[row, : len(own)] = own
+
+    def search(self, queries: pa.Table, k: int) -> pa.RecordBatch:
+        """The k + 1 best nodes for each query."""
+        found = {"query_id": [], "vec_ids": [], "score": []}
+        asked, entries = _bounded(_matrix(queries, "vector")), entry_points(len(self.points))
+        best, _ = beam_search(self.points, self.edges, entries, _unit(asked), SEARCH_BEAM)
+        for query, vector, near in zip(queries.column("query_id").to_pylist(), asked, best, strict=True):
+            near = near[near >= 0]
+            score = (self.vectors[near] * vector).sum(axis=1)
+            score /= self.lengths[near] * np.sqrt((vector**2).sum())
+            for node in np.lexsort(([self.names[n][0] for n in near], -score))[: k + 1]:
+                found["query_id"].append(query)
+                found["vec_ids"].append(self.names[near[node]])
+                found["score"].append(float(score[node]))
+        kinds = {"query_id": pa.int64(), "vec_ids": pa.list_(pa.int64()), "score": pa.float64()}
+        return pa.record_batch({name: pa.array(found[name], kind) for name, kind in kinds.items()})
+
+
+def _searched(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
+    """Answers of the shards of a partition, whose rows come by shard, the nodes by
+    their place before the queries."""
+    waiting: list[pa.RecordBatch] = []
+    current, shard = None, None
+    for batch in pieces(batches, BATCH):
+        keys = np.stack([batch.column(name).to_numpy() for name in ("length", "shard")])
+        asks = batch.column("query_id").is_valid().to_numpy(zero_copy_only=False)
+        change = (keys[:, 1:] != keys[:, :-1]).any(axis=0) | (asks[1:] != asks[:-1])
+        cuts = [0, *(np.flatnonzero(change) + 1).tolist(), batch.num_rows]
+        for low, high in zip(cuts[:-1], cuts[1:], strict=True):
+            if low == high:
+                continue
+            part, key = batch.slice(low, high - low), tuple(keys[:, low].tolist())
+            if key != current:
+                current, shard, waiting = key, None, []
+            if not asks[low]:
+                waiting.append(part)
+                continue
+            if shard is None and waiting:
+                shard, waiting = _Shard(pa.Table.from_batches(waiting)), []
+            if shard is not None:
+                yield shard.search(pa.Table.from_batches([part]), k)
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -212,8 +252,11 @@ def build_index(vectors: DataFrame, *, k: int) -> DataFrame:
     dealt = nodes.join(sizes, "length").withColumn(
         "shard", F.pmod(F.xxhash64("vec_ids"), F.col("shards"))
     )
+    # A given number of partitions, which AQE leaves as they are: a graph takes long.
+    tasks = sizes.agg(F.sum("shards")).first()[0] or 1
     return stage(
         dealt.select("length", "shard", "vector", "vec_ids")
+        .repartition(tasks, "length", "shard")
         .groupBy("length", "shard")
         .applyInArrow(
             _indexed,
@@ -229,25 +272,28 @@ def nearest(queries: DataFrame, index: DataFrame, *, k: int) -> DataFrame:
     of ``queries`` (query_id, vector), ties to the smaller vec_id, without the
     query's own id. Fewer candidates give fewer rows."""
     shards = stage(index.select("length", "shard").distinct(), "shards")
-    blocks = max(1, -(-queries.count() // QUERY_BLOCK))
+    nodes = index.select(
+        "length", "shard", F.lit(None).cast("long").alias("query_id"), "place", "vector", "vec_ids", "edges"
+    )
     asked = (
-        queries.withColumn("of_length", F.size("vector"))
-        .withColumn("of_block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)))
-        .join(
-            shards.select(F.col("length").alias("of_length"), F.col("shard").alias("of_shard")),
-            "of_length",
+        queries.withColumn("length", F.size("vector"))
+        .join(shards, "length")
+        .select(
+            "length",
+            "shard",
+            "query_id",
+            F.lit(None).cast("int").alias("place"),
+            "vector",
+            F.lit(None).cast("array<long>").alias("vec_ids"),
+            F.lit(None).cast("array<int>").alias("edges"),
         )
     )
-    searched = index.withColumn(
-        "block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))
-    )
+    # Nodes have no query, so they come first in their shard.
     found = (
-        asked.groupBy("of_length", "of_shard", "of_block")
-        .cogroup(searched.groupBy("length", "shard", "block"))
-        .applyInArrow(
-            lambda left, right: _searched(left, right, k),
-            "query_id long, vec_ids array<long>, score double",
-        )
+        nodes.union(asked)
+        .repartition(max(1, shards.count()), "length", "shard")
+        .sortWithinPartitions("length", "shard", "query_id", "place")
+        .mapInArrow(partial(_searched, k=k), "query_id long, vec_ids array<long>, score double")
     )
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (

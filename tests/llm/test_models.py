@@ -127,6 +127,26 @@ def test_graph_search_recall_ties_and_unusable_vectors(spark):
     assert graph_search.nearest(asked, empty, k=5).count() == 0
 
 
+def test_graph_search_of_huge_and_tiny_components(spark, monkeypatch):
+    """Also with many shards: lengths of vectors, hot shards and batches do not matter."""
+    monkeypatch.setattr(graph_search, "SHARD_ROWS", 40)
+    rng = np.random.Generator(np.random.PCG64(3))
+    vectors = rng.normal(size=(300, 4)) * 10.0 ** rng.integers(-200, 200, (300, 1))
+    rows = [(n, v.tolist()) for n, v in enumerate(vectors)] + [(1000 + n, [1.0, float(n)]) for n in range(9)]
+    usable = graph_search.usable(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    asked = usable.where("vec_id % 10 = 0").withColumnRenamed("vec_id", "query_id")
+    index = graph_search.build_index(usable, k=5)
+    assert index.select("length", "shard").distinct().count() > 5
+    unit = vectors / np.abs(vectors).max(axis=1, keepdims=True)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    found = graph_search.nearest(asked, index, k=5).where("query_id < 1000").collect()
+    assert len(found) == 150
+    for row in found:
+        score = unit @ unit[row.query_id]
+        score[row.query_id] = -2
+        assert row.score == pytest.approx(np.sort(score)[-row["rank"]], abs=1e-12)
+
+
 def test_section_tokens_against_single_tokens(odd, none):
     encoding, _ = token_counts.load(token_counts.VOCABULARY)
     assert isinstance(encoding, tiktoken.Encoding)
