@@ -403,10 +403,12 @@ def encode_merges(
     vocabulary: str = VOCABULARY,
     keep: Sequence[str] | None = None,
     packed: bool = False,
+    decoded: bool = False,
 ) -> DataFrame:
     """(doc, ids), one row per row of ``docs`` (text string). ``doc`` is the row, or
     its columns ``keep``, so other columns pass whatever their names. ``ids`` is
-    array<int>, or with ``packed`` binary, four bytes an id, the lowest first.
+    array<int>, or with ``packed`` binary, four bytes an id, the lowest first. With
+    ``decoded`` there is also the text of the ids, as ``decode_merges`` gives it.
 
     No special tokens are added. A null, empty or blank text has no ids; no rows
     give no rows, and equal texts equal ids.
@@ -422,12 +424,18 @@ def encode_merges(
                 first = np.cumsum([0, *(len(ids) // 4 for ids in found)])
                 values = pa.array(np.frombuffer(b"".join(found), np.int32))
                 ids = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), values)
-            yield pa.record_batch({"doc": batch.column("doc"), "ids": ids})
+            columns = {"doc": batch.column("doc"), "ids": ids}
+            if decoded:
+                numbers = [np.frombuffer(own, np.uint32).astype(np.int64) for own in found]
+                texts = [decode(own, encoder.vocabulary) for own in numbers]
+                columns["decoded"] = pa.array(texts, pa.binary()).cast(pa.string())
+            yield pa.record_batch(columns)
 
     kept = docs.columns if keep is None else keep
     rows = docs.select(F.struct(*kept).alias("doc"), F.col("text").alias("_t"))
     kind = rows.schema["doc"].dataType.simpleString()
-    return rows.mapInArrow(encoded, f"doc {kind}, ids {'binary' if packed else 'array<int>'}")
+    schema = f"doc {kind}, ids {'binary' if packed else 'array<int>'}"
+    return rows.mapInArrow(encoded, schema + ", decoded string" * decoded)
 
 
 def decode_merges(encoded: DataFrame, *, vocabulary: str = VOCABULARY) -> DataFrame:

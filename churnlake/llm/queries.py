@@ -12,7 +12,7 @@ from churnlake.llm.host_rules import judge_documents
 from churnlake.llm.minhash import near_duplicates
 from churnlake.llm.mixing import mix_sources
 from churnlake.llm.oracles import ORACLES as ORACLES
-from churnlake.llm.pair_merges import decode_merges, encode_merges
+from churnlake.llm.pair_merges import encode_merges
 from churnlake.llm.sentence_pieces import encode_pieces
 from churnlake.llm.sharding import shard_documents
 from churnlake.llm.spelling_forms import spelling_forms
@@ -135,9 +135,10 @@ def op12_spelling_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op13_pair_merges(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
-    encoded = encode_merges(docs, keep=("doc_id",), packed=True).select("doc.doc_id", "ids")
-    return decode_merges(encoded).select(
-        "doc_id",
+    # One pass through Python; two in a row would be buffered on disk in between.
+    encoded = encode_merges(docs, keep=("doc_id",), packed=True, decoded=True)
+    return encoded.select(
+        "doc.doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),

@@ -253,6 +253,9 @@ def test_pair_merge_queries(spark, odd, none, library):
     for row in decoded.collect():
         ids = library.encode(row.text or "", add_special_tokens=False).ids
         assert (row.ids, row.decoded) == (ids, library.decode(ids, skip_special_tokens=False))
+    packed = pair_merges.decode_merges(pair_merges.encode_merges(odd, packed=True, decoded=True).selectExpr("doc", "ids", "decoded AS own"))
+    assert packed.where("own != decoded").count() == 0
+    assert packed.count() == odd.count()
     nulls = encoded.select(F.lit(None).cast("array<int>").alias("ids"))
     assert pair_merges.decode_merges(nulls).where("decoded is not null").count() == 0
     assert pair_merges.encode_merges(none).count() == 0
