@@ -1,7 +1,10 @@
 """From documents to token ids: a corpus pipeline of five stages.
 
 Each stage takes what its predecessor kept and is stored before the next one
-starts. All but the last return the columns of ``documents``.
+starts. All but the last return the columns of ``documents``. A null text is one
+without words: it is clean, a copy of nothing, keeps no passage and has no pieces.
+Null lang and source count as '' where tokens are mixed and are passed on as they
+are. Rows without doc_id are never copies, and repeat nothing.
 """
 
 from __future__ import annotations
@@ -36,11 +39,15 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the words of passages that an earlier one has.
 
-    A text that loses words is its other words, joined by one space.
+    A text that loses words is its other words, joined by one space, and n_chars
+    tells its length; any other row stays as it is.
     """
     cut = remove_repeats(docs)
-    text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("doc.text"))
-    edited = {"text": text, "n_chars": F.length(text).cast("long")}
+    shorter = F.col("n_removed") > 0
+    edited = {
+        "text": F.when(shorter, F.col("kept_text")).otherwise(F.col("doc.text")),
+        "n_chars": F.when(shorter, F.length("kept_text").cast("long")).otherwise(F.col("doc.n_chars")),
+    }
     return cut.select(
         *[edited.get(name, F.col(f"doc.`{name}`")).alias(name) for name in docs.columns]
     )
@@ -71,12 +78,13 @@ STAGES = [
     ("piece ids", to_pieces),
 ]
 
-# The classifier and the sketches are beyond SQL; tests compare each stage with
-# a brute-force version.
+# The classifier and the sketches are beyond SQL; tests/llm/test_pipeline.py compares
+# the rows of each stage with a plain version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the whole table ``documents``; no rows give no rows."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, step in STAGES:
         docs = stage(step(spark, docs, sf_dir), name.replace(" ", "-"))
