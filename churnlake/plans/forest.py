@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from churnlake.layout import Layout
 from churnlake.plans.features import LABEL, customer_features, stratified_split
 from churnlake.plans.gold import read_gold
-from churnlake.plans.model import DEPTH, complete, save_model, select_features
+from churnlake.plans.model import DEPTH, complete, dealt_out, save_model, select_features
 from churnlake.publish import Commit, current, step
 from churnlake.scratch import stage
 
@@ -109,7 +109,7 @@ def score_with_nodes(
         " <= element_at(t.nodes, at + 1).threshold THEN element_at(t.nodes, at + 1).left"
         " ELSE element_at(t.nodes, at + 1).right END) + 1).probability) / size(trees)"
     )
-    rows = complete(features).select(
+    rows = dealt_out(complete(features)).select(
         F.lit(0).alias("_one"),
         "customer_id",
         F.col(LABEL).cast("int").alias("actual_churn"),

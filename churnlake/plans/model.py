@@ -113,6 +113,14 @@ def score(model: PipelineModel, features: DataFrame) -> DataFrame:
     )
 
 
+def dealt_out(features: DataFrame) -> DataFrame:
+    """The rows over all tasks of a shuffle. A row costs hundreds of trees, but is
+    small, so partitions that fit a task by size would leave most cores idle; AQE
+    leaves a given number of partitions as it is."""
+    tasks = int(features.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return features.repartition(tasks, "customer_id")
+
+
 def predict(model: PipelineModel, features: DataFrame) -> DataFrame:
     """The stored predictions of all customers.
 
@@ -120,7 +128,7 @@ def predict(model: PipelineModel, features: DataFrame) -> DataFrame:
     sort by risk would otherwise score every row once to find its ranges and
     once more to sort.
     """
-    return stage(score(model, features), "predictions")
+    return stage(score(model, dealt_out(features)), "predictions")
 
 
 def ranked_by_risk(predictions: DataFrame) -> DataFrame:
