@@ -124,13 +124,11 @@ def array_records(spark: SparkSession, path: str) -> DataFrame:
     )
     inside = (F.col("inside") + F.col("quotes_before")) % 2
     known = (
-        entered.withColumn(
-            "depth",
-            F.col("block_depth") + F.when(F.col("inside") == 0, F.col("before_0")).otherwise(F.col("before_1")),
-        )
+        entered.withColumn("depth", F.expr("block_depth + if(inside = 0, before_0, before_1)"))
         .withColumn("starts", (inside == 0) & (F.col("depth") <= 1))
         .withColumn(
-            "depth_after", F.col("depth") + F.when(inside == 0, F.col("change_0")).otherwise(F.col("change_1"))
+            "depth_after",
+            F.col("depth") + F.when(inside == 0, F.col("change_0")).otherwise(F.col("change_1")),
         )
         .withColumn("ends", ((inside + F.col("quotes")) % 2 == 0) & (F.col("depth_after") == 1))
         .select("path", "modified", "block", "place", "value", "starts", "ends")
@@ -147,9 +145,11 @@ def array_records(spark: SparkSession, path: str) -> DataFrame:
         .orderBy("place")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    numbered = known.withColumn("_own", _sum_before(F.col("ends").cast("long"), before)).join(
-        ended, ["path", "block"]
-    ).withColumn("record", F.col("_base") + F.col("_own"))
+    numbered = (
+        known.withColumn("_own", _sum_before(F.col("ends").cast("long"), before))
+        .join(ended, ["path", "block"])
+        .withColumn("record", F.col("_base") + F.col("_own"))
+    )
     # What is left after the last record is no record.
     numbered = numbered.where(~(F.col("starts") & F.col("value").rlike(r"^\s*(\[\s*)?\]\s*$")))
     alone = numbered.where("starts and ends").select(
@@ -169,9 +169,8 @@ def array_records(spark: SparkSession, path: str) -> DataFrame:
     # Before a record: the bracket of the array, or a comma.
     opening = r"^\uFEFF?\s*(\[|,)?\s*"
     text = F.regexp_replace("text", opening, "")
-    checked = F.when(
-        text.startswith("{"), text
-    ).otherwise(F.raise_error(F.concat(F.lit("an array element is no object: "), F.substring(text, 1, 80))))
+    problem = F.concat(F.lit("an array element is no object: "), F.substring(text, 1, 80))
+    checked = F.when(text.startswith("{"), text).otherwise(F.raise_error(problem))
     arrival = F.struct(
         "modified", "path", F.lit(0).cast("long").alias("block"), F.col("record").alias("place")
     )

@@ -211,14 +211,14 @@ def land_changes(
     stay too. Reading what has landed is a plain scan: ``landed_versions``.
     """
     store = small_files(spark, target)
-    done = [int(name.removesuffix(".json")) for name in store.names(_manifest_of(target)) if name[0] not in "._"]
-    number = max(done, default=0)
-    changed = dense_key(changed_files(spark, folder, name_glob, target), ["modified", "path"], "_file")
+    records = [name for name in store.names(_manifest_of(target)) if name[0] not in "._"]
+    number = max((int(name.removesuffix(".json")) for name in records), default=0)
+    changed = changed_files(spark, folder, name_glob, target)
+    numbered = dense_key(changed, ["modified", "path"], "_file")
+    take = F.expr(f"(_file - 1) div {max_files}").alias("take")
     # The list may be long: it is stored by batch, and a batch is read at a time.
     waiting = new_dir(spark, "changed-files")
-    changed.select("path", "modified", "length", F.expr(f"(_file - 1) div {max_files}").alias("take")).write.partitionBy(
-        "take"
-    ).parquet(waiting)
+    numbered.select("path", "modified", "length", take).write.partitionBy("take").parquet(waiting)
     listed = spark.read.schema(f"{_VERSION}, take long").parquet(waiting)
     batches = listed.agg(F.max("take")).first()[0]
     for take in range(0 if batches is None else batches + 1):
@@ -245,4 +245,5 @@ def landed_versions(spark: SparkSession, target: str, schema: str) -> DataFrame:
     whole = f"{schema}, {SOURCE_FILE} string, {SOURCE_MODIFIED} timestamp, {SOURCE_BATCH} long"
     if not any(name[0] not in "._" for name in small_files(spark, target).names(_rows_of(target))):
         return spark.createDataFrame([], whole)
-    return spark.read.schema(f"{whole}, {SOURCE_KEY} string").parquet(_rows_of(target)).drop(SOURCE_KEY)
+    rows = spark.read.schema(f"{whole}, {SOURCE_KEY} string").parquet(_rows_of(target))
+    return rows.drop(SOURCE_KEY)

@@ -74,9 +74,13 @@ def write_array(rows: DataFrame, order: str, path: str) -> None:
     first = rows.agg(F.min(order)).first()[0]
     fields = F.to_json(F.struct(*[name for name in rows.columns if name != order]))
     lead = F.when(F.col(order) == F.lit(first), "[").otherwise(",")
-    last = rows.sparkSession.range(1).select(F.lit(1).alias("last"), F.lit(None).alias("at"), F.lit("]").alias("value"))
-    lines = rows.select(F.lit(0).alias("last"), F.col(order).alias("at"), F.concat(lead, fields).alias("value"))
-    lines.unionByName(last).orderBy("last", "at").select("value").coalesce(1).write.text(path)
+    lines = rows.select(
+        F.lit(0).alias("last"), F.col(order).alias("at"), F.concat(lead, fields).alias("value")
+    )
+    end = rows.sparkSession.range(1).select(
+        F.lit(1).alias("last"), F.lit(None).alias("at"), F.lit("]").alias("value")
+    )
+    lines.unionByName(end).orderBy("last", "at").select("value").coalesce(1).write.text(path)
 
 
 def write_bronze(spark: SparkSession, sf_dir: str) -> Layout:

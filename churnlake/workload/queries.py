@@ -577,7 +577,8 @@ def rollup_merge(spark, sf_dir):
     # Rows of customers that are in no clean row at all: they go without trace.
     stray = [part.withColumn("customer_id", F.col("customer_id") + UNKNOWN) for part in wrong]
     removed = [one.unionByName(two) for one, two in zip(wrong, stray, strict=True)]
-    first = [part.where(~late & ~replaced).unionByName(gone) for part, gone in zip(rows, removed, strict=True)]
+    kept = [part.where(~late & ~replaced) for part in rows]
+    first = [one.unionByName(two) for one, two in zip(kept, removed, strict=True)]
     state = stage(gold.activity_rollup(*first), "rollup-before")
     added = [part.where(late | replaced) for part in rows]
     merged = increment.update_rollup(state, added, removed)
