@@ -18,6 +18,7 @@ def percent(ratio: Column) -> Column:
 
 
 def segment(value: Column, cuts: Sequence[tuple[float, str]], otherwise: str) -> Column:
-    """The label of the first cut that ``value`` reaches, highest cut first."""
+    """The label of the first cut that ``value`` reaches, highest cut first; a NULL
+    reaches none and gets ``otherwise``, as a value below all cuts does."""
     labels = [F.when(value >= cut, F.lit(label)) for cut, label in cuts]
     return F.coalesce(*labels, F.lit(otherwise))

@@ -23,6 +23,7 @@ from churnlake.scratch import new_dir
 
 SOURCE_FILE = "_source_file"
 SOURCE_MODIFIED = "_source_modified"
+SOURCE_PATH = "_source_path"
 
 
 def watch_files(
@@ -36,8 +37,8 @@ def watch_files(
 ) -> DataFrame:
     """A stream of the rows of all files below ``folder`` with a matching name.
 
-    The files stay where they are. Each row keeps the name and modification
-    time of its file.
+    The files stay where they are. Each row keeps the name, modification time and
+    path of its file.
     """
     reader = (
         spark.readStream.format(file_format)
@@ -51,6 +52,7 @@ def watch_files(
         "*",
         F.col("_metadata.file_name").alias(SOURCE_FILE),
         F.col("_metadata.file_modification_time").alias(SOURCE_MODIFIED),
+        F.col("_metadata.file_path").alias(SOURCE_PATH),
     )
 
 
@@ -79,17 +81,19 @@ def _row_id() -> Column:
 def landed_rows(spark: SparkSession, path: str) -> DataFrame:
     """The rows of the newest version of every file name.
 
-    A name dropped again replaces the earlier file. One file may hold a large
-    share of the rows, so the lookup of the newest version spreads hot names.
+    A name dropped again replaces the earlier file; of files of one name and time
+    the last path counts. One file may hold a large share of the rows, so the lookup
+    of the newest version spreads hot names.
     """
     landed = spark.read.parquet(path)
     columns = landed.columns
-    newest = landed.groupBy(SOURCE_FILE).agg(F.max(SOURCE_MODIFIED).alias("_newest"))
+    version = F.struct(SOURCE_MODIFIED, SOURCE_PATH)
+    newest = landed.groupBy(SOURCE_FILE).agg(F.max(version).alias("_newest"))
     rows = landed.select("*", _row_id().alias("_row_id"))
     found = spread_lookup(
         rows, newest, SOURCE_FILE, F.col("_row_id"), hot_keys(landed, SOURCE_FILE)
     )
-    return found.where(F.col(SOURCE_MODIFIED) == F.col("_newest")).select(*columns)
+    return found.where(version == F.col("_newest")).select(*columns)
 
 
 # --- versions of files --------------------------------------------------

@@ -34,6 +34,13 @@ def test_files_land_once_and_newer_ones_replace(spark, tmp_path):
     drop(f"{tmp_path}/drop/later", "Offers.csv", "a,b\n1,new\n", now - 100)
     landed = run(spark, tmp_path)
     assert sorted((row.a, row.b) for row in landed.collect()) == [("1", "new"), ("3", "z")]
+    # Of two files of one name and time the last path counts.
+    drop(f"{tmp_path}/drop/m", "Offers3.csv", "a,b\n7,first\n", now - 50)
+    drop(f"{tmp_path}/drop/z", "Offers3.csv", "a,b\n7,last\n", now - 50)
+    landed = run(spark, tmp_path)
+    assert sorted((row.a, row.b) for row in landed.collect()) == [
+        ("1", "new"), ("3", "z"), ("7", "last")
+    ]
     # The dropped files are still there.
     assert os.path.exists(f"{tmp_path}/drop/Offers.csv")
 
