@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from churnlake.layout import Layout
@@ -18,16 +19,30 @@ from churnlake.workload.raw import RAW
 # Milliseconds; a modification time given to files whose age must not decide.
 LONG_AGO = 1_000_000_000_000
 
+# Rows that one task sorts and writes into one file.
+FILE_ROWS = 500_000
+
+# Blocks that ``small_splits`` aims at for a large folder, and the largest it cuts.
+BLOCKS, LARGEST_BLOCK = 256, 16 << 20
+
 KEEP_SPACES = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 
+def block_size(spark: SparkSession, folder: str, smallest: int) -> int:
+    """Bytes of the blocks that cut a folder's files into many: ``smallest``, and more
+    where that would make far more than ``BLOCKS`` tasks of next to no work."""
+    total = sum(system.getFileStatus(file).getLen() for system, file in _files(spark, folder))
+    return max(smallest, min(total // BLOCKS, LARGEST_BLOCK))
+
+
 @contextmanager
-def small_splits(spark: SparkSession, size: str = "64k") -> Iterator[None]:
+def small_splits(spark: SparkSession, folder: str, smallest: int = 64 << 10) -> Iterator[None]:
     """Plans made inside cut files into small blocks, as a large file would be."""
+    size = block_size(spark, folder, smallest)
     names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
     before = {name: spark.conf.get(name) for name in names}
     for name in names:
-        spark.conf.set(name, size)
+        spark.conf.set(name, str(size))
     try:
         yield
     finally:
@@ -63,24 +78,55 @@ def drop_file(df: DataFrame, path: str) -> None:
     system.rename(file, target)
 
 
+def file_count(rows: DataFrame, rows_per_file: int = FILE_ROWS) -> int:
+    """As many files as leave none with more rows than a task should write."""
+    return max(1, math.ceil(rows.count() / rows_per_file))
+
+
 def in_arrival_order(spark: SparkSession, sf_dir: str, spec: SourceSpec, parts: int = 5) -> DataFrame:
-    """The raw rows in the order of their ids, over a few files in that order."""
+    """The raw rows in the order of their ids, over a few files in that order, or as
+    many as the rows need."""
     rows = RAW[spec.name](spark, sf_dir)
+    parts = max(parts, file_count(rows))
     return rows.repartitionByRange(parts, SOURCE_ID).sortWithinPartitions(SOURCE_ID)
 
 
-def write_array(rows: DataFrame, order: str, path: str) -> None:
-    """All rows as one file of one JSON array, in the order of a column."""
-    first = rows.agg(F.min(order)).first()[0]
+def write_array(rows: DataFrame, order: str, path: str, rows_per_file: int = FILE_ROWS) -> None:
+    """All rows as one JSON array a file, in the order of a column; one file of one
+    array as long as its rows fit a task.
+
+    Files hold ranges of the column and their paths have its order. The bounds of the
+    ranges are about its quantiles; they are part of the plan, so a row has the same
+    file whenever it is read.
+    """
+    files = file_count(rows, rows_per_file)
+    shares = [number / files for number in range(1, files)]
+    bounds = rows.approxQuantile(order, shares, 0.1 / files) if shares else []
+    number = F.lit(0)
+    for bound in sorted(set(bounds)):
+        number = number + (F.col(order) > bound).cast("int")
     fields = F.to_json(F.struct(*[name for name in rows.columns if name != order]))
-    lead = F.when(F.col(order) == F.lit(first), "[").otherwise(",")
     lines = rows.select(
-        F.lit(0).alias("last"), F.col(order).alias("at"), F.concat(lead, fields).alias("value")
+        F.format_string("%05d", number).alias("file"),
+        F.lit(0).alias("last"),
+        F.col(order).alias("at"),
+        fields.alias("value"),
+    )
+    ends = lines.select("file").distinct().select(
+        "file", F.lit(1).alias("last"), F.lit(None).alias("at"), F.lit("]").alias("value")
     )
-    end = rows.sparkSession.range(1).select(
-        F.lit(1).alias("last"), F.lit(None).alias("at"), F.lit("]").alias("value")
+    place = F.row_number().over(Window.partitionBy("file").orderBy("last", "at"))
+    lead = F.when(F.col("last") == 1, "").when(place == 1, "[").otherwise(",")
+    # More tasks than files, so that few of them get more than one.
+    (
+        lines.unionByName(ends)
+        .repartition(4 * files, "file")
+        .withColumn("line", F.concat(lead, "value"))
+        .sortWithinPartitions("file", "last", "at")
+        .select("line", "file")
+        .write.partitionBy("file")
+        .text(path)
     )
-    lines.unionByName(end).orderBy("last", "at").select("value").coalesce(1).write.text(path)
 
 
 def write_bronze(spark: SparkSession, sf_dir: str) -> Layout:

@@ -105,8 +105,9 @@ AWKWARD = '"}, {[\\" \\\\ ]}\n}'
 
 @query
 def bronze_json_array_scan(spark, sf_dir):
-    """Usage as one file of one array, cut into many blocks; a note holds brackets,
-    quotes, escapes and a line feed, and an inner object its customer again."""
+    """Usage as one file of one array, or a few if it is large, cut into many blocks; a
+    note holds brackets, quotes, escapes and a line feed, and an inner object its
+    customer again."""
     path = new_dir(spark, "bronze-array")
     raw = RAW["usage"](spark, sf_dir)
     note = F.concat(F.lit(AWKWARD), F.col("usage_log_id"))
@@ -114,7 +115,7 @@ def bronze_json_array_scan(spark, sf_dir):
         {"note": note, "inner": F.struct(F.struct("customer_id").alias("of"), F.lit(1).alias("n"))}
     )
     write_array(written.drop("num_products"), SOURCE_ID, path)
-    with small_splits(spark):
+    with small_splits(spark, path):
         return read_json_array(spark, path, [*USAGE.columns, "note", "inner"]).drop(SOURCE_ID)
 
 
@@ -122,7 +123,7 @@ def bronze_json_array_scan(spark, sf_dir):
 def bronze_arrival_ids(spark, sf_dir):
     """The first file came last; every file is cut into several blocks."""
     path = write_late_first(spark, sf_dir)
-    with small_splits(spark, "16k"):
+    with small_splits(spark, path, 16 << 10):
         scanned = with_source_id(read_csv(spark, path, CUSTOMERS.columns, header=False))
         stored = stage(scanned.select(*CUSTOMERS.columns, SOURCE_ID), "arrivals")
     numbered = number_arrivals(stored)
