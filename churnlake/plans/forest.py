@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from churnlake.layout import Layout
 from churnlake.plans.features import LABEL, customer_features, stratified_split
 from churnlake.plans.gold import read_gold
-from churnlake.plans.model import DEPTH, complete, dealt_out, save_model, select_features
+from churnlake.plans.model import DEPTH, complete, save_model, select_features
 from churnlake.publish import Commit, current, step
 from churnlake.scratch import stage
 
@@ -24,6 +24,10 @@ NODE_SCHEMA = (
     "tree int, node int, feature string, threshold double, left int, right int, probability double"
 )
 
+# Batches of customers a task of the shuffle scores. A row that is joined to the trees
+# gets a copy of them all, so that is done once a batch.
+BATCHES = 16
+
 # A forest of more nodes is not sent to every task.
 MAX_NODES = 1 << 20
 
@@ -68,20 +72,39 @@ def require_small(nodes: DataFrame) -> None:
 
 
 def _trees(nodes: DataFrame, features: list[str]) -> DataFrame:
-    """One row: the trees as arrays, the nodes of each in their order."""
+    """One row: the trees, each as arrays over its nodes in their order.
+
+    A leaf has no children; in the arrays both are the leaf itself, so a walk that has
+    come to it stays there without being asked.
+    """
     index = F.array_position(F.array(*[F.lit(name) for name in features]), F.col("feature"))
+    leaf = F.col("left").isNull()
+    itself = F.col("node").cast("int")
     packed = F.struct(
         F.col("node"),
-        (index - 1).cast("int").alias("feature"),
-        "threshold",
-        "left",
-        "right",
+        F.when(leaf, 1).otherwise(index.cast("int")).alias("feature"),
+        F.when(leaf, 0.0).otherwise(F.col("threshold")).alias("threshold"),
+        (F.when(leaf, itself).otherwise(F.col("left")) + 1).alias("left"),
+        (F.when(leaf, itself).otherwise(F.col("right")) + 1).alias("right"),
         "probability",
     )
     return (
         nodes.groupBy("tree")
-        .agg(F.sort_array(F.collect_list(packed)).alias("nodes"))
-        .agg(F.sort_array(F.collect_list(F.struct("tree", "nodes"))).alias("trees"))
+        .agg(F.sort_array(F.collect_list(packed)).alias("_nodes"))
+        .select(
+            "tree",
+            *[
+                F.col(f"_nodes.{name}").alias(name)
+                for name in ("feature", "threshold", "left", "right", "probability")
+            ],
+        )
+        .agg(
+            F.sort_array(
+                F.collect_list(
+                    F.struct("tree", "feature", "threshold", "left", "right", "probability")
+                )
+            ).alias("trees")
+        )
     )
 
 
@@ -94,31 +117,41 @@ def score_with_nodes(
     """(customer_id, actual_churn, predicted_churn, churn_probability, prediction_label)
     of every customer, from a table of nodes of at most ``depth`` steps.
 
-    The trees are one row of at most ``MAX_NODES`` nodes, joined to every customer by a
-    constant, hence the broadcast. A NULL feature counts as 0, as in training.
+    The trees are one row of at most ``MAX_NODES`` nodes, joined to every batch of
+    customers by a constant, hence the broadcast. A NULL feature counts as 0, as in training.
     """
     require_small(nodes)
     names = [name for name, _, _ in inputs]
     scaled = [(F.col(name).cast("double") - F.lit(shift)) * F.lit(factor) for name, shift, factor in inputs]
-    # After ``depth`` steps every walk stands at a leaf, where it stays.
+    # After ``depth`` steps every walk stands at a leaf, where it stays. A step is all
+    # that is done hundreds of times a row, so it has no more than five lookups.
     walk = (
-        "aggregate(trees, 0D, (total, t) -> total + element_at(t.nodes, aggregate("
-        f"sequence(1, {depth}), 0, (at, step) -> CASE"
-        " WHEN element_at(t.nodes, at + 1).left IS NULL THEN at"
-        " WHEN element_at(scaled, element_at(t.nodes, at + 1).feature + 1)"
-        " <= element_at(t.nodes, at + 1).threshold THEN element_at(t.nodes, at + 1).left"
-        " ELSE element_at(t.nodes, at + 1).right END) + 1).probability) / size(trees)"
+        "aggregate(trees, 0D, (total, t) -> total + element_at(t.probability, aggregate("
+        f"sequence(1, {depth}), 1, (at, step) ->"
+        " if(element_at(r.scaled, element_at(t.feature, at)) <= element_at(t.threshold, at),"
+        " element_at(t.left, at), element_at(t.right, at))))) / size(trees)"
+    )
+    tasks = int(features.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    batch = F.pmod(F.xxhash64("customer_id"), F.lit(tasks * BATCHES))
+    row = F.struct(
+        "customer_id", F.col(LABEL).cast("int").alias("actual_churn"), F.array(*scaled).alias("scaled")
     )
-    rows = dealt_out(complete(features)).select(
-        F.lit(0).alias("_one"),
-        "customer_id",
-        F.col(LABEL).cast("int").alias("actual_churn"),
-        F.array(*scaled).alias("scaled"),
+    rows = (
+        complete(features)
+        .repartition(tasks, batch)
+        .groupBy(batch.alias("_batch"))
+        .agg(F.collect_list(row).alias("rows"))
+        .withColumn("_one", F.lit(0))
     )
     trees = F.broadcast(_trees(nodes, names).withColumn("_one", F.lit(0)))
+    scored = F.expr(
+        "transform(rows, r -> named_struct('customer_id', r.customer_id,"
+        f" 'actual_churn', r.actual_churn, 'churn_probability', {walk}))"
+    )
     return (
         rows.join(trees, "_one")
-        .select("customer_id", "actual_churn", F.expr(walk).alias("churn_probability"))
+        .select(F.explode(scored).alias("row"))
+        .select("row.*")
         .withColumn("predicted_churn", (F.col("churn_probability") > 0.5).cast("int"))
         .withColumn(
             "prediction_label",
