@@ -136,9 +136,11 @@ def run_source(
         return tables
 
     def check(stored: dict[str, DataFrame]) -> list[dict]:
-        report = reconcile(spec.name, build.source, stored["clean"], stored["rejected"])
+        # Counted once: the report is looked at twice.
+        rows = reconcile(spec.name, build.source, stored["clean"], stored["rejected"]).collect()
+        report = spark.createDataFrame(rows, RECONCILED)
         require_reconciled(report)
-        return [row.asDict() for row in report.collect()]
+        return [row.asDict() for row in rows]
 
     commit, done = step(
         spark, layout.silver_set(spec.name), inputs, build, check=check, rebalance=("rejected",)
