@@ -92,11 +92,20 @@ def _unless(value: Column, *exceptions: tuple[Column, str | None]) -> Column:
     return chain.otherwise(value)
 
 
+def _dealt(rows: DataFrame) -> DataFrame:
+    """Rows of a few narrow columns over all tasks of a shuffle. They take little room,
+    so a scan makes few partitions of them, but many parsed cells are made of each; AQE
+    leaves a given number of partitions as it is."""
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(tasks, *rows.columns)
+
+
 def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("c_custkey")
-    rows = _repeat(
-        table(spark, sf_dir, "customer"), _every("c_custkey", 10, 0), _every("c_custkey", 14, 1)
+    customers = table(spark, sf_dir, "customer").select(
+        "c_custkey", "c_name", "c_nationkey", "c_acctbal"
     )
+    rows = _repeat(_dealt(customers), _every("c_custkey", 10, 0), _every("c_custkey", 14, 1))
     copy, second = F.col("version") == COPY, F.col("version") == SECOND
     country = F.when(F.col("c_nationkey") == 24, "Italy").otherwise(
         _pick(F.col("c_nationkey") % 3, "France", "Spain", "Germany")

@@ -5,7 +5,7 @@ import json
 from churnlake.sources.arrival import number_arrivals
 from churnlake.sources.json_array import read_json_array
 from churnlake.scratch import stage
-from churnlake.workload import dropped
+from churnlake.workload import dropped, raw
 from pyspark.sql import functions as F
 
 
@@ -48,3 +48,9 @@ def test_files_and_blocks_grow_with_the_rows(spark, tmp_path, monkeypatch):
     (tmp_path / "large" / "file").write_bytes(b"x" * (1 << 20))
     assert dropped.block_size(spark, str(tmp_path / "large"), 1 << 10) == (1 << 20) // 256
     assert dropped.block_size(spark, str(tmp_path / "large"), 64 << 10) == 64 << 10
+
+def test_customers_are_dealt_out_over_all_tasks(spark, tmp_path):
+    spark.createDataFrame([(n, f"c{n}", n % 25, 1.0) for n in range(60)],
+        "c_custkey long, c_name string, c_nationkey int, c_acctbal double",
+    ).coalesce(1).write.parquet(str(tmp_path / "customer.parquet"))
+    assert raw.raw_customers(spark, str(tmp_path)).rdd.getNumPartitions() == 8
