@@ -3,8 +3,9 @@
 A saved model can only be read by the library that wrote it. As a table (tree,
 node, feature, threshold, children, probability) it can be queried, compared with
 the next one and scored by anything that runs SQL. Scoring walks all trees of a row
-in one expression: a tree is an array of its nodes, and each step looks up the node
-it is at and goes to one of its children. No row is shuffled or multiplied.
+in one expression: a tree is arrays over its nodes, and each step looks up the node
+it is at and goes to one of its children. Customers are dealt out once, in batches
+that meet the trees together; no row is multiplied.
 """
 
 from __future__ import annotations
