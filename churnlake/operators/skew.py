@@ -40,8 +40,15 @@ def spread_lookup(
     Rows of a hot key are dealt out over its splits by the hash of their id,
     and the lookup row is repeated once per split. The hash makes a task that
     runs again deal the same way. ``hot`` has at most as many rows as the shuffle
-    has tasks, so broadcasting it is safe at any scale.
+    has tasks, so broadcasting it is safe at any scale. Without hot keys nothing is
+    repeated, and the optimizer sees how large ``lookup`` is before rows are shuffled.
     """
+    if hot.isEmpty():
+        # Not a plain 0, which would no longer be a key of the join.
+        unsalted = lookup.withColumn("_salt", F.pmod(F.xxhash64(key), F.lit(1).cast("long")))
+        salt = F.when(F.col(key).isNull(), F.pmod(F.xxhash64(row_id), F.lit(NULL_SALTS)))
+        dealt = df.withColumn("_salt", F.coalesce(salt, F.lit(0).cast("long")))
+        return dealt.join(unsalted, [key, "_salt"], "left").drop("_salt")
     small = F.broadcast(hot)
     salt = (
         F.when(F.col(key).isNull(), F.pmod(F.xxhash64(row_id), F.lit(NULL_SALTS)))

@@ -4,12 +4,14 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from silver_rows import clean, reasons
 
+from churnlake.operators import dedupe
 from churnlake.operators.reconcile import (
     ReconciliationError,
     reconcile,
     rejection_report,
     require_reconciled,
 )
+from churnlake.operators.rules import REASON
 from churnlake.sources.specs import CUSTOMERS, OFFERS, TICKETS, USAGE
 
 
@@ -161,3 +163,54 @@ def test_reconciliation_fails_on_lost_rows(spark):
 def test_rejection_report_orders_by_frequency(spark):
     df = spark.createDataFrame([("a",), ("b",), ("b",)], "rejection_reason string")
     assert [tuple(row) for row in rejection_report(df).collect()] == [("b", 2), ("a", 1)]
+
+
+def many_rows(spec):
+    """Copies, second rows of a key, rows without key, and a key with many rows."""
+    changes = []
+    for n in range(120):
+        key = None if n % 11 == 0 else "7" if n % 3 == 0 else str(1000 + n % 40)
+        other = {"customer_id": "101"} if n % 7 == 0 else {spec.columns[-1]: "junk"} if n % 10 == 0 else {}
+        changes.append({spec.key: key, **other})
+    return changes
+
+
+@pytest.mark.parametrize("spec", [CUSTOMERS, TICKETS, OFFERS, USAGE], ids=lambda spec: spec.name)
+def test_heavy_keys_take_the_joins_and_the_same_rows_come(spark, spec, monkeypatch):
+    changes = [{k: v for k, v in row.items() if k in spec.columns} for row in many_rows(spec)]
+
+    def rows():
+        return sorted(map(str, clean(spark, spec, changes).all_rows.collect()))
+
+    dealt = rows()
+    assert len(dealt) == len(changes)
+    monkeypatch.setattr(dedupe, "LIGHT_ROWS", 0)
+    assert rows() == dealt
+
+
+def test_a_heavy_key_is_not_dealt_to_one_task(spark, monkeypatch):
+    monkeypatch.setattr(dedupe, "LIGHT_ROWS", 100)
+    rows = spark.range(8000).selectExpr("if(id % 3 = 0, null, id) AS k", "id AS o", "id % 4 AS p")
+    assert dedupe.tasks_by_key(rows, "k", "o") == 1
+    assert dedupe.tasks_by_key(rows, "p", "o") is None
+    # Rows without key count by the other column.
+    assert dedupe.tasks_by_key(rows.selectExpr("k", "1 AS o"), "k", "o") is None
+    monkeypatch.setattr(dedupe, "ROWS_PER_TASK", 100)
+    assert dedupe.tasks_by_key(rows, "k", "o") == 80
+    dealt = dedupe.deal_by_key(rows, "k", "o", 80)
+    assert dealt.rdd.getNumPartitions() == 80
+
+
+def test_rows_are_shuffled_once(spark, capsys):
+    """Copies and key duplicates are found where one shuffle brought the rows."""
+    rows = spark.range(100).selectExpr("string(id % 30) AS k", "id % 20 AS v", "id AS _at")
+    dealt = dedupe.deal_by_key(rows, "k", "v", 8)
+    distinct = dedupe.collapse_copies(dealt, [dedupe.DEAL, "k", "v"], "_at")
+    distinct = distinct.withColumn(REASON, F.lit(None).cast("string"))
+    marked = dedupe.mark_dealt_duplicates(distinct, "k", "_at", "dup", F.col(REASON).isNull())
+    joined = dedupe.mark_key_duplicates(distinct, "k", "_at", "dup", F.col(REASON).isNull())
+    assert sorted(marked.select("k", "v", REASON).collect(), key=str) == sorted(
+        joined.select("k", "v", REASON).collect(), key=str
+    )
+    marked.explain("simple")
+    assert capsys.readouterr().out.count("Exchange ") == 1
