@@ -116,9 +116,11 @@ def score(model: PipelineModel, features: DataFrame) -> DataFrame:
 def dealt_out(features: DataFrame) -> DataFrame:
     """The rows over all tasks of a shuffle. A row costs hundreds of trees, but is
     small, so partitions that fit a task by size would leave most cores idle; AQE
-    leaves a given number of partitions as it is."""
+    leaves a given number of partitions as it is. They are dealt by a hash of the id:
+    rows that a join on the id has shuffled would not be dealt out again by the id
+    itself, and the join's partitions may be merged into one."""
     tasks = int(features.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return features.repartition(tasks, "customer_id")
+    return features.repartition(tasks, F.xxhash64("customer_id"))
 
 
 def predict(model: PipelineModel, features: DataFrame) -> DataFrame:

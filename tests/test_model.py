@@ -74,6 +74,23 @@ def test_train_select_score_and_reload(split, tmp_path):
         assert (row.prediction_label == "Likely to churn") == (row.predicted_churn == 1)
 
 
+def test_predictions_of_joined_rows_are_made_in_many_tasks(spark, split):
+    train, test = split
+    fitted = model.train(train, ("CLV_LTV", "num_products"), trees=5, depth=3)
+    ids = spark.range(100_000).withColumnRenamed("id", "customer_id")
+    # As many tasks as scored rows are as many files; the join is by a shuffle of its own,
+    # small enough to be merged.
+    broadcast = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = ids.join(test.drop("split"), "customer_id", "left")
+        predictions = model.predict(fitted, joined)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    assert len(predictions.inputFiles()) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert predictions.count() == predictions.select("customer_id").distinct().count() == 100_000
+
+
 def test_training_needs_no_activity(split):
     train, test = split
     unknown = test.withColumn("CLV_LTV", F.lit(None).cast("double"))
