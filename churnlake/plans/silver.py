@@ -100,6 +100,7 @@ def _marked_by_key(
     as_of: Column,
     customer_ids: DataFrame | None,
     tasks: int,
+    counted_on: DataFrame,
 ) -> DataFrame:
     """The same in one shuffle of the rows by their key. Customers are looked up before
     it, where copies find the same."""
@@ -107,7 +108,7 @@ def _marked_by_key(
     if spec.foreign_key is not None:
         known = [KNOWN_CUSTOMER]
         rows = flag_known_keys(
-            rows, spec.foreign_key, customer_ids, F.col(SOURCE_ID), KNOWN_CUSTOMER
+            rows, spec.foreign_key, customer_ids, F.col(SOURCE_ID), KNOWN_CUSTOMER, counted_on
         )
     dealt = deal_by_key(rows, spec.key, _other(spec), tasks)
     distinct = collapse_copies(dealt, [DEAL, *spec.columns, *known], SOURCE_ID)
@@ -125,22 +126,27 @@ def clean_source(
     spec: SourceSpec,
     as_of: Column,
     customer_ids: DataFrame | None = None,
+    counted_on: DataFrame | None = None,
 ) -> Silver:
     """Split a standardized source into clean and rejected rows.
 
     Arrival ids must be stored or computed from the data: they are read more
     than once. The marked rows are stored, since the clean and the rejected rows
-    both start from them.
+    both start from them. Keys are counted on ``counted_on`` where a stored table
+    with the same rows is cheaper to read than ``standardized``.
     """
-    tasks = tasks_by_key(standardized, spec.key, _other(spec))
+    counted_on = standardized if counted_on is None else counted_on
+    tasks = tasks_by_key(counted_on, spec.key, _other(spec))
     if tasks is None:
         marked = _marked_by_joins(standardized, spec, as_of, customer_ids)
     else:
-        marked = _marked_by_key(standardized, spec, as_of, customer_ids, tasks)
+        marked = _marked_by_key(standardized, spec, as_of, customer_ids, tasks, counted_on)
     marked = stage(marked.select(*spec.columns, COPIES, REASON), f"{spec.name}-marked")
     clean = marked.where(F.col(REASON).isNull()).select(*spec.columns)
+    # Copies come from as many partitions as the shuffle has tasks; AQE merges them. The
+    # other rows lie as they are stored.
     rejected = marked.where(F.col(REASON).isNotNull()).drop(COPIES).unionByName(
-        surplus_copies(marked, spec.columns)
+        surplus_copies(marked, spec.columns).hint("rebalance")
     )
     return Silver(clean, rejected)
 
@@ -171,13 +177,13 @@ def run_source(
 
     def build() -> dict[str, DataFrame]:
         raw = read_bronze(spark, spec, layout.bronze(spec.name), multi_line)
-        standardized = number_arrivals(stage(standardize(raw, spec), f"{spec.name}-standardized"))
+        stored = stage(standardize(raw, spec), f"{spec.name}-standardized")
         ids = customers.read(spark, "customer_ids") if customers else None
-        silver = clean_source(standardized, spec, as_of, ids)
+        silver = clean_source(number_arrivals(stored), spec, as_of, ids, stored)
         tables = {"clean": silver.clean, "rejected": silver.rejected}
         if spec is CUSTOMERS:
             tables["customer_ids"] = key_reference(silver.clean, spec.key)
-        build.source = standardized
+        build.source = stored
         return tables
 
     def check(stored: dict[str, DataFrame]) -> list[dict]:
@@ -187,9 +193,7 @@ def run_source(
         require_reconciled(report)
         return [row.asDict() for row in rows]
 
-    commit, done = step(
-        spark, layout.silver_set(spec.name), inputs, build, check=check, rebalance=("rejected",)
-    )
+    commit, done = step(spark, layout.silver_set(spec.name), inputs, build, check=check)
     return spark.createDataFrame(commit.report, RECONCILED), done
 
 

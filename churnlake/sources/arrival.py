@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from churnlake.scratch import stage
+
 SOURCE_ID = "_source_id"
 
 BLOCK = ("modified", "path", "block")
@@ -32,8 +34,9 @@ def number_arrivals(stored: DataFrame, name: str = SOURCE_ID) -> DataFrame:
     The places of a block must follow each other without gaps, as they do when a
     scan is stored before a row is dropped, and they must be stored: a scan may be
     cut differently the next time. Rows are not shuffled; the window without
-    partitions and the joined table have one row per file block, for which the
-    optimizer picks a broadcast while it is small.
+    partitions and the joined table have one row per file block. That table is stored,
+    so the optimizer knows its size before it plans the join, and picks a broadcast
+    while it is small.
     """
     arrival = F.col(name)
     rows = stored.select(
@@ -49,4 +52,4 @@ def number_arrivals(stored: DataFrame, name: str = SOURCE_ID) -> DataFrame:
     )
     number = F.col("_before") + F.col("_place") - F.col("_first") + 1
     others = [column for column in stored.columns if column != name]
-    return rows.join(blocks, keys).select(*others, number.alias(name))
+    return rows.join(stage(blocks, "arrival-blocks"), keys).select(*others, number.alias(name))

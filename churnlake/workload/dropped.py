@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import math
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from churnlake.layout import Layout
@@ -85,15 +85,33 @@ def file_count(rows: DataFrame, rows_per_file: int = FILE_ROWS) -> int:
 
 def in_arrival_order(spark: SparkSession, sf_dir: str, spec: SourceSpec, parts: int = 5) -> DataFrame:
     """The raw rows in the order of their ids, over a few files in that order, or as
-    many as the rows need."""
-    rows = RAW[spec.name](spark, sf_dir)
+    many as the rows need. Narrow rows are brought in order; their cells are made after."""
+    source = RAW[spec.name]
+    rows, order = source.rows(spark, sf_dir), source.order()
     parts = max(parts, file_count(rows))
-    return rows.repartitionByRange(parts, SOURCE_ID).sortWithinPartitions(SOURCE_ID)
-
-
-def write_array(rows: DataFrame, order: str, path: str, rows_per_file: int = FILE_ROWS) -> None:
+    return source.cells(rows.repartitionByRange(parts, *order).sortWithinPartitions(*order))
+
+
+def _file_number(value: Column, bounds: list[float]) -> Column:
+    """How many of the sorted ``bounds`` lie below a value, found by halving them."""
+    if not bounds:
+        return F.lit(0)
+    middle = len(bounds) // 2
+    below = _file_number(value, bounds[:middle])
+    above = _file_number(value, bounds[middle + 1 :]) + (middle + 1)
+    return F.when(value > bounds[middle], above).otherwise(below)
+
+
+def write_array(
+    rows: DataFrame,
+    order: str,
+    path: str,
+    rows_per_file: int = FILE_ROWS,
+    cells: Callable[..., DataFrame] | None = None,
+) -> None:
     """All rows as one JSON array a file, in the order of a column; one file of one
-    array as long as its rows fit a task.
+    array as long as its rows fit a task. ``cells`` makes the fields of rows that are
+    in order, by default all other columns.
 
     Files hold ranges of the column and their paths have its order. The bounds of the
     ranges are about its quantiles; they are part of the plan, so a row has the same
@@ -102,31 +120,23 @@ def write_array(rows: DataFrame, order: str, path: str, rows_per_file: int = FIL
     files = file_count(rows, rows_per_file)
     shares = [number / files for number in range(1, files)]
     bounds = rows.approxQuantile(order, shares, 0.1 / files) if shares else []
-    number = F.lit(0)
-    for bound in sorted(set(bounds)):
-        number = number + (F.col(order) > bound).cast("int")
-    fields = F.to_json(F.struct(*[name for name in rows.columns if name != order]))
-    lines = rows.select(
-        F.format_string("%05d", number).alias("file"),
-        F.lit(0).alias("last"),
-        F.col(order).alias("at"),
-        fields.alias("value"),
-    )
-    ends = lines.select("file").distinct().select(
-        "file", F.lit(1).alias("last"), F.lit(None).alias("at"), F.lit("]").alias("value")
-    )
-    place = F.row_number().over(Window.partitionBy("file").orderBy("last", "at"))
-    lead = F.when(F.col("last") == 1, "").when(place == 1, "[").otherwise(",")
+    number = _file_number(F.col(order), sorted(set(bounds)))
+    digits = max(5, len(str(files)))
+    file = F.lpad(F.when(F.col(order).isNotNull(), number).cast("string"), digits, "0")
+    of_file = Window.partitionBy("file").orderBy(order)
     # More tasks than files, so that few of them get more than one.
-    (
-        lines.unionByName(ends)
+    placed = (
+        rows.withColumn("file", F.coalesce(file, F.lit("null")))
         .repartition(4 * files, "file")
-        .withColumn("line", F.concat(lead, "value"))
-        .sortWithinPartitions("file", "last", "at")
-        .select("line", "file")
-        .write.partitionBy("file")
-        .text(path)
+        .withColumn("lead", F.when(F.row_number().over(of_file) == 1, "[").otherwise(","))
+        .withColumn("end", F.when(F.lead(F.lit(1)).over(of_file).isNull(), "\n]").otherwise(""))
+        .sortWithinPartitions("file", order)
     )
+    if cells is not None:
+        placed = cells(placed, order, "file", "lead", "end")
+    names = [name for name in placed.columns if name not in (order, "file", "lead", "end")]
+    line = F.concat("lead", F.to_json(F.struct(*names)), "end")
+    placed.select(line.alias("line"), "file").write.partitionBy("file").text(path)
 
 
 def write_bronze(spark: SparkSession, sf_dir: str) -> Layout:
@@ -136,7 +146,8 @@ def write_bronze(spark: SparkSession, sf_dir: str) -> Layout:
     for spec in SOURCES:
         path = layout.bronze(spec.name)
         if spec is USAGE:
-            write_array(RAW[spec.name](spark, sf_dir), SOURCE_ID, path)
+            usage = RAW[spec.name]
+            write_array(usage.rows(spark, sf_dir), SOURCE_ID, path, cells=usage.cells)
         else:
             rows = in_arrival_order(spark, sf_dir, spec).select(*spec.columns)
             rows.write.options(header=spec.header, **KEEP_SPACES).csv(path)

@@ -7,6 +7,10 @@ unreadable cells, unknown customers, copies, and second rows of a key.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+from functools import partial, reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -100,12 +104,16 @@ def _dealt(rows: DataFrame) -> DataFrame:
     return rows.repartition(tasks, *rows.columns)
 
 
-def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("c_custkey")
+def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers = table(spark, sf_dir, "customer").select(
         "c_custkey", "c_name", "c_nationkey", "c_acctbal"
     )
     rows = _repeat(_dealt(customers), _every("c_custkey", 10, 0), _every("c_custkey", 14, 1))
+    return rows.withColumn(SOURCE_ID, F.col("c_custkey") * 4 + F.col("version"))
+
+
+def _customer_cells(rows: DataFrame, *others: str) -> DataFrame:
+    key = F.col("c_custkey")
     copy, second = F.col("version") == COPY, F.col("version") == SECOND
     country = F.when(F.col("c_nationkey") == 24, "Italy").otherwise(
         _pick(F.col("c_nationkey") % 3, "France", "Spain", "Germany")
@@ -163,17 +171,18 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
             (_every("c_custkey", 127, 30), "2090-01-01"),
         ),
     }
-    source_id = key * 4 + F.col("version")
-    return rows.select(
-        *[cells[name].alias(name) for name in CUSTOMERS.columns], source_id.alias(SOURCE_ID)
-    )
+    return rows.select(*[cells[name].alias(name) for name in CUSTOMERS.columns], *others)
 
 
-def raw_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("o_orderkey")
+def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _repeat(
         table(spark, sf_dir, "orders"), _every("o_orderkey", 20, 0), _every("o_orderkey", 33, 1)
     )
+    return rows.withColumn(SOURCE_ID, F.col("o_orderkey") * 4 + F.col("version"))
+
+
+def _usage_cells(rows: DataFrame, *others: str) -> DataFrame:
+    key = F.col("o_orderkey")
     copy, second = F.col("version") == COPY, F.col("version") == SECOND
     log_id = F.concat(F.lit("USG"), _string(key))
     cents = F.floor(F.col("o_totalprice") / 2) + F.when(second, 100).otherwise(0)
@@ -206,10 +215,7 @@ def raw_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
             _string(F.col("o_custkey") % 4), (_every("o_orderkey", 149, 50), "")
         ),
     }
-    source_id = key * 4 + F.col("version")
-    return rows.select(
-        *[cells[name].alias(name) for name in USAGE.columns], source_id.alias(SOURCE_ID)
-    )
+    return rows.select(*[cells[name].alias(name) for name in USAGE.columns], *others)
 
 
 # Every line item is a ticket or an offer: returned ones and the even orders of
@@ -263,7 +269,7 @@ def _line_customer() -> Column:
     )
 
 
-def raw_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _ticket_cells(rows: DataFrame, *others: str) -> DataFrame:
     copy = F.col("version") == COPY
     quantity = F.col("l_quantity").cast("long")
     hours = F.concat(
@@ -301,12 +307,10 @@ def raw_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
             (_every("l_partkey", 101, 33), "2090-05-01"),
         ),
     }
-    return _lines(spark, sf_dir, tickets=True).select(
-        *[cells[name].alias(name) for name in TICKETS.columns], SOURCE_ID
-    )
+    return rows.select(*[cells[name].alias(name) for name in TICKETS.columns], *others)
 
 
-def raw_offers(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _offer_cells(rows: DataFrame, *others: str) -> DataFrame:
     copy = F.col("version") == COPY
     answer = F.when(
         F.col("l_linestatus") == "F", _pick(F.col("l_linenumber") % 4, "YES", "y", "1", "True")
@@ -333,10 +337,43 @@ def raw_offers(spark: SparkSession, sf_dir: str) -> DataFrame:
             (_every("l_partkey", 101, 33), "2090-05-01"),
         ),
     }
-    return _lines(spark, sf_dir, tickets=False).select(
-        *[cells[name].alias(name) for name in OFFERS.columns], SOURCE_ID
-    )
+    return rows.select(*[cells[name].alias(name) for name in OFFERS.columns], *others)
+
+
+def _id_order() -> list[Column]:
+    return [F.col(SOURCE_ID)]
+
+
+def _line_order() -> list[Column]:
+    """The order of the ids of line items by the numbers an id is made of, which are
+    compared faster; a row that lacks one of them has no id."""
+    numbers = [
+        F.expr("l_orderkey * 10 + l_linenumber"),
+        F.col("l_partkey"),
+        F.expr("l_suppkey * 10 + version"),
+        F.datediff(F.col("l_shipdate"), F.lit("1970-01-01")),
+    ]
+    present = reduce(Column.__and__, [number.isNotNull() for number in numbers])
+    return [F.when(present, number) for number in numbers]
+
+
+@dataclass(frozen=True)
+class RawSource:
+    """``rows`` are narrow rows of a table, copies and second rows included, with their
+    arrival id; ``cells`` makes text cells of them, and ``order`` is that of the ids."""
+
+    rows: Callable[[SparkSession, str], DataFrame]
+    cells: Callable[..., DataFrame]
+    order: Callable[[], list[Column]] = _id_order
+
+    def __call__(self, spark: SparkSession, sf_dir: str) -> DataFrame:
+        return self.cells(self.rows(spark, sf_dir), SOURCE_ID)
+
 
+raw_customers = RawSource(_customers, _customer_cells)
+raw_usage = RawSource(_orders, _usage_cells)
+raw_tickets = RawSource(partial(_lines, tickets=True), _ticket_cells, _line_order)
+raw_offers = RawSource(partial(_lines, tickets=False), _offer_cells, _line_order)
 
 RAW = {
     CUSTOMERS.name: raw_customers,
