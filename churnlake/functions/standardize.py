@@ -105,7 +105,13 @@ def month(value: Column) -> Column:
 
 
 def month_of(value: Column) -> Column:
-    return F.date_format(value, "yyyy-MM")
+    """``2025-10`` of a date or time. A date's own text starts with it as long as the
+    year has four digits, and takes half the time of a pattern."""
+    day = value.cast("date")
+    plain = day.between(F.lit("0001-01-01").cast("date"), F.lit("9999-12-31").cast("date"))
+    return F.when(plain, F.substring(day.cast("string"), 1, 7)).otherwise(
+        F.date_format(value, "yyyy-MM")
+    )
 
 
 def fingerprint(columns: Sequence[str]) -> Column:
